@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import packing, refine, residue, skeleton, tokenize
+from quillgraph.llm import gazetteer, language, packing, refine, residue, skeleton, tokenize
 from quillgraph.session import read_table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of the letters whose label is missing or wrong or whose text has several."""
+    return language.wrong_or_mixed(read_table(spark, folder, "letters_fixed"), read_table(spark, folder, "letter_intake"))
+
+
+def p2_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every letter's passages with their languages and confidence, one row each."""
+    letters = read_table(spark, folder, "letters_fixed")
+    dictionaries = language.fit(language.sampled(letters, read_table(spark, folder, "letter_intake"), "letter_id", "text", "lang_label"))
+    found = language.passages(letters, dictionaries)
+    return found.select("letter_id", F.posexplode("passages").alias("passage_no", "p")).select("letter_id", "passage_no", "p.start", "p.end", "p.lang", "p.confidence", "p.sentences")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the entity table whose link is not one of the list as it stands, with the URI meant or ''."""
+    return gazetteer.canonical_links(read_table(spark, folder, "ner_nel_entities"), read_table(spark, folder, "manual_links"), read_table(spark, folder, "given_name_forms"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that look the same and are different strings."""
     mentions = skeleton.look_same_pairs(read_table(spark, folder, "ner_entities"), ["letter_id", "label"], "ordinal", "text")
@@ -59,4 +77,4 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(read_table(spark, folder, "documents")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p4_forms, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_passages, p3_found, p4_found, p4_forms, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
