@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import gazetteer, language, packing, refine, residue, skeleton, tokenize
+from quillgraph.llm import gazetteer, language, ocr, packing, refine, residue, skeleton, tokenize
 from quillgraph.session import read_table
 
 
@@ -49,6 +49,19 @@ def edge_entities(edges: DataFrame) -> DataFrame:
     return edges.where("source_type = 'LETTER' OR target_type = 'LETTER'").select("ordinal", pick("target", "source").alias("letter_id"), pick("source_type", "target_type").alias("entity_type"), pick("source", "target").alias("entity"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """What scanning left in each line of the letters' text and header."""
+    letters = read_table(spark, folder, "letters_fixed")
+    editor = ocr.fit(letters, read_table(spark, folder, "ner_entities"))
+    return ocr.noise(letters.where("letter_id is not null"), editor).distinct()
+
+
+def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Every letter as continuous paragraphs."""
+    letters = read_table(spark, folder, "letters_fixed")
+    return ocr.repaired(letters, ocr.fit(letters, read_table(spark, folder, "ner_entities")))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Copies hidden by formatting, each with the smallest ordinal of its group."""
     mentions = refine.copies(read_table(spark, folder, "ner_entities"), ["letter_id", "label"], "ordinal", "text")
@@ -77,4 +90,4 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(read_table(spark, folder, "documents")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_passages, p3_found, p4_found, p4_forms, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_passages, p3_found, p4_found, p4_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
