@@ -1,17 +1,17 @@
 """Copies that differ only in formatting, by progressive partition refinement.
 
-Records are first grouped by invariants the JVM computes from the raw string (letters
-without marks, digits); classes of one member leave. The next key is the letter
-histogram; classes of one member leave again. Only what is left gets the exact key, the
-sequence of words and numbers of its printed form, which needs Unicode normalisation.
-Every class is pre-aggregated before its shuffle, so a class of many copies travels as a
-few rows, and its members are met again by a join whose other side has one row a class.
+Equal strings of a scope are collapsed first, with a partial aggregate before the
+shuffle, so that a string with any number of copies goes on as one row. The spellings
+of a scope are then grouped by cheap invariants, the digits in order and the number of
+letters; classes of one member leave. The next key is the letter histogram; classes of
+one member leave again. Only what is left gets the exact key, the sequence of words
+and numbers. All keys are built-in expressions on a spelling's folded form; only
+spellings with characters beyond a known set are folded in Python.
 """
 
 from __future__ import annotations
 
-import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.arrow import mapped
@@ -21,27 +21,24 @@ from quillgraph.llm.skeleton import skeleton
 OTHER_SMALL = "авекмнорстухіјѕүαβεζηικμνορτυχϲðɖ"
 LATIN_SMALL = "abekmhopctyxijsyabezhikmnoptyxcđđ"
 _FOLD = str.maketrans(OTHER_SMALL, LATIN_SMALL)
-_WORD = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*")
+# Signs that fold without Unicode tables. Any other character makes a spelling go through word folding in Python.
+_FORMAT = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+_SPACES = "\u00a0\u2005\u2007\u2009\u202f"
+_COMPOSED = {"č": "c\u030c", "ć": "c\u0301", "š": "s\u030c", "ž": "z\u030c"}
+_PLAIN = rf"^[\t\n\r\x20-\x7e{_FORMAT}{_SPACES}čćšžđðČĆŠŽĐÐ\u030c\u0301«»„”“]*$"
 
 
-def word_key(text: str) -> str:
-    """The words and numbers of a text in order, without case and look-alikes; a text without words is its own printed form."""
-    form = skeleton(text.lower().translate(_FOLD)).casefold().translate(_FOLD)
-    return " ".join(_WORD.findall(form)) or "\x00" + form
+def folded(text: str) -> str:
+    """Small letters of one alphabet, decomposed, without format characters: what the keys are taken from."""
+    return skeleton(skeleton(text.lower().translate(_FOLD)).casefold().translate(_FOLD))
 
 
-# Characters that stand for one letter, digit, mark or sign; a text with any other is not refined by its letters.
-_WIDE_DIGITS, _DIGITS = "０１２３４５６７８９", "0123456789"
-_ACCENTED, _BASE = "čćžšČĆŽŠ", "cczsCCZS"
-_KNOWN = r"[\x00-\x7fčćžšđðČĆŽŠĐÐ̀-ͯ­​-‍⁠﻿  -   «»„”“]"
-
-
-def _cheap(text: Column) -> tuple[Column, Column]:
-    """The digits in order, and the number of letters and digits, null for a text with characters that may stand for several letters."""
-    digits = F.regexp_replace(F.translate(text, _WIDE_DIGITS, _DIGITS), r"[^0-9]", "")
-    bare = F.regexp_replace(text, r"[^\p{L}\p{N}]", "")
-    plain = text.rlike(rf"^{_KNOWN}*$")
-    return digits, F.when(plain, F.length(bare))
+def _folded_plain(text: Column) -> Column:
+    """``folded`` of a spelling of known characters."""
+    form = F.translate(F.lower(text), _SPACES + "ð" + _FORMAT, " " * len(_SPACES) + "đ")
+    for composed, parts in _COMPOSED.items():
+        form = F.replace(form, F.lit(composed), F.lit(parts))
+    return form
 
 
 def copies(df: DataFrame, scope: list[str], ordinal_col: str, text_col: str) -> DataFrame:
@@ -52,21 +49,21 @@ def copies(df: DataFrame, scope: list[str], ordinal_col: str, text_col: str) ->
     """
     keys = [f"s{i}" for i in range(len(scope))]
     rows = df.select(F.col(ordinal_col).alias("ordinal"), F.col(text_col).alias("text"), *[F.col(c).alias(f"s{i}") for i, c in enumerate(scope)]).dropna()
-    digits, length = _cheap(F.col("text"))
-    letters = F.translate(F.regexp_replace(F.lower(F.translate(F.col("text"), _ACCENTED, _BASE)), r"[^\p{L}]", ""), "ð", "đ")
-    rows = rows.withColumn("digits", digits).withColumn("length", length)
-    rows = rows.withColumn("k1", F.xxhash64(*keys, "digits"))
-    # 1: digits within the scope. A class with a text outside the known characters is not refined by length and letters
-    first = rows.groupBy("k1").agg(F.count("*").alias("n"), F.bool_or(F.col("length").isNull()).alias("odd")).where("n > 1").select("k1", "odd")
-    left = rows.join(first, "k1").withColumn("k2", F.when(F.col("odd"), F.col("k1")).otherwise(F.xxhash64("k1", "length", F.array_join(F.array_sort(F.split(letters, "")), ""))))
-    # 2: length and letter histogram
-    second = left.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2")
-    left = left.join(second, ["k1", "k2"]).select(*keys, "ordinal", "text")
-    # 3: the exact key, computed once for each spelling of a scope
-    spelled = left.groupBy(*keys, "text").agg(F.min("ordinal").alias("least"), F.count("*").alias("n")).withColumn("key", mapped(word_key, F.col("text")))
-    groups = spelled.groupBy(*keys, "key").agg(F.min("least").alias("ordinal_a"), F.sum("n").alias("n")).where("n > 1").select(*keys, "key", "ordinal_a")
-    heads = spelled.select(*keys, "text", "key").join(groups, [*keys, "key"]).select(*keys, "text", "ordinal_a")
-    return left.join(heads, [*keys, "text"]).where("ordinal <> ordinal_a").select("ordinal_a", F.col("ordinal").alias("ordinal_b")).distinct()
+    spelled = rows.groupBy(*keys, "text").agg(F.min("ordinal").alias("least"), F.max("ordinal").alias("most")).withColumn("plain", F.col("text").rlike(_PLAIN))
+    formed = spelled.where("plain").withColumn("form", _folded_plain(F.col("text"))).unionByName(spelled.where("not plain").withColumn("form", mapped(folded, F.col("text"))))
+    letters = F.regexp_replace("form", r"[^\p{L}]", "")
+    several = lambda *by: F.count(F.lit(1)).over(Window.partitionBy(*by)) + F.when(F.col("least") < F.col("most"), 1).otherwise(0)
+    # 1: digits in order and number of letters
+    first = formed.withColumn("k1", F.xxhash64(*keys, F.regexp_replace("form", "[^0-9]", ""), F.length(letters)))
+    first = first.withColumn("n", several("k1")).where("n > 1")
+    # 2: letter histogram; the rows are already where the first key put them
+    second = first.withColumn("k2", F.xxhash64(F.array_sort(F.split(letters, "")))).withColumn("n", several("k1", "k2")).where("n > 1")
+    # 3: words and numbers in order
+    found = F.regexp_extract_all("form", F.lit(r"([\p{L}\p{N}][\p{L}\p{N}\p{M}]*)"), 1)
+    exact = second.withColumn("key", F.when(F.size(found) > 0, F.array_join(found, " ")).otherwise(F.concat(F.lit("\0"), "form")))
+    group = Window.partitionBy("k1", *keys, "key")
+    heads = exact.withColumn("ordinal_a", F.min("least").over(group)).withColumn("last", F.max("most").over(group)).where("ordinal_a < last").select(*keys, "text", "ordinal_a")
+    return rows.join(heads, [*keys, "text"]).where("ordinal <> ordinal_a").select("ordinal_a", F.col("ordinal").alias("ordinal_b")).distinct()
 
 
 def collapsed(df: DataFrame, scope: list[str], ordinal_col: str, text_col: str) -> DataFrame:
