@@ -44,8 +44,8 @@ def fold(text: str) -> str:
 
 
 def words(text: str) -> list[str]:
-    """Folded words; an abbreviation keeps its full stop, commas and opening brackets stay as words."""
-    return [fold(w) for w in _WORD.findall(latin(text))]
+    """Folded words; an abbreviation keeps its full stop, commas and opening brackets stay as words; dj, which also spells đ, is d."""
+    return [fold(w).replace("dj", "d") for w in _WORD.findall(latin(text))]
 
 
 def distance(a: str, b: str, most: int) -> int:

@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import gazetteer, language, ocr, packing, refine, residue, skeleton, tokenize
+from quillgraph.llm import gazetteer, language, names, ocr, packing, refine, residue, skeleton, tokenize
 from quillgraph.session import read_table
 
 
+def p1_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Every name of a person or organisation and the entity it stands for."""
+    return names.entities(read_table(spark, folder, "ner_entities"), read_table(spark, folder, "letters_fixed"), read_table(spark, folder, "given_name_forms"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of names that stand for the same person or organisation."""
+    return names.variant_pairs(p1_entities(spark, folder)).distinct()
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Languages of the letters whose label is missing or wrong or whose text has several."""
     return language.wrong_or_mixed(read_table(spark, folder, "letters_fixed"), read_table(spark, folder, "letter_intake"))
@@ -90,4 +100,4 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(read_table(spark, folder, "documents")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_passages, p3_found, p4_found, p4_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
