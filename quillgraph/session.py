@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: dict[str, str] = {}
 
-def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage of ``df`` in the folder that the cluster names in spark.checkpoint.dir.
 
-    A folder of this machine is used only where the setting is absent, as in tests.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillgraph-"))
-    return df.checkpoint(eager)
+def shared_folder(spark: SparkSession) -> str:
+    """Where tables between steps are written: the folder the cluster names in spark.checkpoint.dir, one of this machine's only where that is unset, as in tests."""
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillgraph-")
+        _own[app] = f"{base.rstrip('/')}/quillgraph-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_drop, spark, _own[app])
+    return _own[app]
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session has ended; the cluster clears its folder
+        pass
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read again: the lineage is cut, lost executors lose nothing, and nothing is computed twice."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a dataset folder; its Parquet files carry the schema."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
-
-
-def scaled_partitions(spark: SparkSession, rows: int, rows_each: int, least: int = 1) -> int:
-    """Partitions for ``rows`` of work, never fewer than one per core of the cluster when there is enough work."""
-    wanted = -(-rows // max(1, rows_each))
-    return max(least, min(wanted, 200_000))
