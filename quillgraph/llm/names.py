@@ -252,52 +252,40 @@ def resolve(read: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
         moves = checkpointed(_round(state))
         if moves.isEmpty():
             break
-        # a move may lead to a profile that moves itself; mentions only grow along the way, so following ends
-        while True:
-            on = moves.alias("a").join(moves.alias("b"), F.col("a.to") == F.col("b.entity"), "left").select("a.entity", F.coalesce("b.to", "a.to").alias("to"), F.col("b.to").isNotNull().alias("more"))
-            on = checkpointed(on)
-            moves = on.select("entity", "to")
-            if on.where("more").isEmpty():
-                break
+        # what would move to a profile that moves itself waits for the next round; mentions grow along the way, so some always move
+        moves = moves.join(moves.select(F.col("entity").alias("to")), "to", "left_anti")
         state = checkpointed(state.join(moves, "entity", "left").withColumn("entity", F.coalesce("to", "entity")).drop("to"))
     return state.select("form", "entity")
 
 
 def _round(state: DataFrame) -> DataFrame:
-    """(entity, to): what this round merges."""
-    named = state.where("family is not null")
+    """(entity, to): what this round may merge."""
     exact = F.flatten(F.transform("beside", lambda w: F.filter(w, lambda a: a.endswith("$"))))
-    given = F.when((F.col("kind") == "ORG") | F.col("full").isNull(), exact).otherwise(F.array_union(exact, F.array(F.concat("full", F.lit("$")))))
     # of a record without a full name only the form itself is a spelling, not all it may stand for
-    spelled = F.when(F.col("full").isNull(), F.transform(F.filter("beside", lambda w: w[0].endswith("$")), lambda w: w[0])).otherwise(given)
-    merged = named.groupBy("entity").agg(F.first("kind").alias("kind"), F.collect_set("family").alias("families"), F.array_distinct(F.flatten(F.collect_list(spelled))).alias("givens"), F.max(F.col("full").isNotNull()).alias("is_profile"), F.max("full").alias("full"), F.sum("n").alias("n"), F.max_by("beside", F.when(F.col("full").isNotNull(), -1).otherwise(F.size("beside"))).alias("beside"))
-    merged = checkpointed(merged)
-    profiles = merged.where("is_profile")
-    records = merged.where("not is_profile")
-    initial = lambda words_: F.array_distinct(F.transform(words_, lambda g: F.substring(g, 1, 1)))
-    blocks = profiles.select(F.col("entity").alias("to"), "kind", "givens", F.col("n").alias("m"), F.col("full").alias("to_full"), F.explode("families").alias("family"))
-    by_initial = blocks.withColumn("initial", F.explode(initial(F.col("givens"))))
-    asked = records.where("size(beside) > 0").select("entity", "kind", "beside", F.explode("families").alias("family"))
-    asked_initial = asked.withColumn("initial", F.explode(initial(F.col("beside")[0])))
-    # 1: the same family name, and what stands beside it fits
-    fits = asked_initial.join(by_initial, ["kind", "family", "initial"]).where(_fits(F.col("beside"), F.col("givens"))).select("entity", "to")
-    # 2: the family name alone, where only one profile has it; counted, not paired
-    alone = blocks.groupBy("kind", "family").agg(F.count_distinct("to").alias("k"), F.min("to").alias("to"))
-    bare = records.where("size(beside) = 0").select("entity", "kind", F.explode("families").alias("family")).join(alone.where("k = 1"), ["kind", "family"]).select("entity", "to")
-    first = fits.unionByName(bare).distinct()
-    # 3: a family name one slip from another's, the same given name or one that fits, far fewer mentions
-    established = alone.select("kind", "family", "k")
-    sides = lambda df: df.withColumn("short", F.explode(_shortened(F.col("family"))))
-    target = sides(by_initial.select("to", "kind", "givens", "m", "to_full", F.col("family").alias("to_family"), "initial").withColumn("family", F.col("to_family"))).drop("family")
-    slipped_profiles = profiles.select("entity", "kind", "n", "full", F.array(F.array(F.concat("full", F.lit("$")))).alias("beside"), F.explode("families").alias("family"), F.lit(True).alias("is_profile"))
-    slipped_profiles = slipped_profiles.where("kind = 'PER'").unionByName(profiles.where("kind = 'ORG'").select("entity", "kind", "n", "full", F.transform("givens", lambda g: F.array(g)).alias("beside"), F.explode("families").alias("family"), F.lit(True).alias("is_profile")))
-    slipped_records = records.where("size(beside) > 0").select("entity", "kind", "n", F.lit(None).cast("string").alias("full"), "beside", F.explode("families").alias("family"), F.lit(False).alias("is_profile"))
-    slipped = slipped_profiles.unionByName(slipped_records).join(established, ["kind", "family"], "left").where("coalesce(k, 0) <= 1")
-    slipped = sides(slipped.withColumn("initial", F.explode(initial(F.col("beside")[0]))))
-    slips = slipped.join(target, ["kind", "short", "initial"]).where((F.col("entity") != F.col("to")) & (F.col("family") != F.col("to_family")) & (~F.col("is_profile") & F.col("k").isNull() | (F.col("n") <= SLIP_PART * F.col("m"))) & _slip(F.col("family"), F.col("to_family")) & _fits(F.col("beside"), F.col("givens")))
-    slips = slips.select("entity", "to").distinct().join(first.select("entity").distinct(), "entity", "left_anti")
-    chosen = first.unionByName(slips).groupBy("entity").agg(F.count_distinct("to").alias("k"), F.min("to").alias("to"))
-    return chosen.where("k = 1").select("entity", "to")
+    spelled = F.when(F.col("full").isNull(), F.transform(F.filter("beside", lambda w: w[0].endswith("$")), lambda w: w[0])).otherwise(exact)
+    fewest = F.max_by("beside", F.when(F.col("full").isNotNull(), -1).otherwise(F.size("beside")))
+    named = state.where("family is not null").groupBy("entity").agg(F.first("kind").alias("kind"), F.collect_set("family").alias("families"), F.array_distinct(F.flatten(F.collect_list(spelled))).alias("givens"), F.max("full").alias("full"), F.sum("n").alias("n"), fewest.alias("beside"))
+    # a profile is matched by its full name only, an organisation's by all words of its kind
+    own = F.when(F.col("kind") == "ORG", F.transform(F.split("full", " "), lambda w: F.array(F.concat(w, F.lit("$"))))).otherwise(F.array(F.array(F.concat("full", F.lit("$")))))
+    named = checkpointed(named.withColumn("beside", F.when(F.col("full").isNotNull(), own).otherwise(F.col("beside"))).withColumn("family", F.explode("families")).drop("families"))
+    initial = lambda words_: F.explode(F.array_distinct(F.transform(words_, lambda g: F.substring(g, 1, 1))))
+    profiles = named.where("full is not null")
+    alone = profiles.groupBy("kind", "family").agg(F.count_distinct("entity").alias("k"), F.min("entity").alias("only"))
+    known = named.join(alone, ["kind", "family"], "left")
+    # the family name alone, where only one profile has it; counted, not paired
+    bare = known.where("full is null and size(beside) = 0 and k = 1").select("entity", F.col("only").alias("to"), F.lit(True).alias("same"))
+    # a block is an initial and a family name, or that with one letter left out: in it are the same names and those one slip apart
+    target = profiles.select(F.col("entity").alias("to"), "kind", F.col("family").alias("to_family"), F.col("n").alias("m"), "givens", initial(F.col("givens")).alias("initial")).withColumn("block", F.explode(_shortened(F.col("to_family"))))
+    asked = known.where("size(beside) > 0").select("entity", "kind", "family", "n", "full", "k", "beside", initial(F.col("beside")[0]).alias("initial")).withColumn("block", F.explode(_shortened(F.col("family"))))
+    met = asked.join(target, ["kind", "initial", "block"]).where((F.col("entity") != F.col("to")) & _fits(F.col("beside"), F.col("givens")))
+    same = (F.col("family") == F.col("to_family")) & F.col("full").isNull()
+    # a slip has far fewer mentions than what it is a slip of, unless no profile has its family name
+    fewer = (F.col("n") <= SLIP_PART * F.col("m")) | (F.col("full").isNull() & F.col("k").isNull())
+    slip = (F.col("family") != F.col("to_family")) & (F.coalesce("k", F.lit(0)) <= 1) & fewer & _slip(F.col("family"), F.col("to_family"))
+    pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare)
+    chosen = pairs.groupBy("entity").agg(F.collect_set(F.when(F.col("same"), F.col("to"))).alias("equal"), F.collect_set(F.when(~F.col("same"), F.col("to"))).alias("slips"))
+    chosen = chosen.withColumn("may", F.when(F.size("equal") > 0, F.col("equal")).otherwise(F.col("slips")))
+    return chosen.where("size(may) = 1").select("entity", F.col("may")[0].alias("to"))
 
 
 def distinct_names(mentions: DataFrame, recipients: DataFrame) -> DataFrame:
