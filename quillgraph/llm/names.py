@@ -10,7 +10,9 @@ a family name with one letter left out. A record that fits exactly one profile i
 merged into it; the richer profiles enter the next round, until a round merges nothing.
 
 All steps are joins on block keys; no block is gathered in one task, and records are
-distinct readings, so a name with any number of mentions is one row.
+distinct readings, so a name with any number of mentions is one row. The joins are hinted
+to merge, as the tables between rounds grow with the data and their files are many times
+smaller than their rows.
 """
 
 from __future__ import annotations
@@ -253,8 +255,8 @@ def resolve(read: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
         if moves.isEmpty():
             break
         # what would move to a profile that moves itself waits for the next round; mentions grow along the way, so some always move
-        moves = moves.join(moves.select(F.col("entity").alias("to")), "to", "left_anti")
-        state = checkpointed(state.join(moves, "entity", "left").withColumn("entity", F.coalesce("to", "entity")).drop("to"))
+        moves = moves.join(moves.select(F.col("entity").alias("to")).hint("merge"), "to", "left_anti")
+        state = checkpointed(state.join(moves.hint("merge"), "entity", "left").withColumn("entity", F.coalesce("to", "entity")).drop("to"))
     return state.select("form", "entity")
 
 
@@ -271,13 +273,13 @@ def _round(state: DataFrame) -> DataFrame:
     initial = lambda words_: F.explode(F.array_distinct(F.transform(words_, lambda g: F.substring(g, 1, 1))))
     profiles = named.where("full is not null")
     alone = profiles.groupBy("kind", "family").agg(F.count_distinct("entity").alias("k"), F.min("entity").alias("only"))
-    known = named.join(alone, ["kind", "family"], "left")
+    known = named.join(alone.hint("merge"), ["kind", "family"], "left")
     # the family name alone, where only one profile has it; counted, not paired
     bare = known.where("full is null and size(beside) = 0 and k = 1").select("entity", F.col("only").alias("to"), F.lit(True).alias("same"))
     # a block is an initial and a family name, or that with one letter left out: in it are the same names and those one slip apart
     target = profiles.select(F.col("entity").alias("to"), "kind", F.col("family").alias("to_family"), F.col("n").alias("m"), "givens", initial(F.col("givens")).alias("initial")).withColumn("block", F.explode(_shortened(F.col("to_family"))))
     asked = known.where("size(beside) > 0").select("entity", "kind", "family", "n", "full", "k", "beside", initial(F.col("beside")[0]).alias("initial")).withColumn("block", F.explode(_shortened(F.col("family"))))
-    met = asked.join(target, ["kind", "initial", "block"]).where((F.col("entity") != F.col("to")) & _fits(F.col("beside"), F.col("givens")))
+    met = asked.join(target.hint("merge"), ["kind", "initial", "block"]).where((F.col("entity") != F.col("to")) & _fits(F.col("beside"), F.col("givens")))
     same = (F.col("family") == F.col("to_family")) & F.col("full").isNull()
     # a slip has far fewer mentions than what it is a slip of, unless no profile has its family name
     fewer = (F.col("n") <= SLIP_PART * F.col("m")) | (F.col("full").isNull() & F.col("k").isNull())
@@ -304,10 +306,10 @@ def entities(mentions: DataFrame, recipients: DataFrame, forms: DataFrame) -> Da
     """
     names = checkpointed(distinct_names(mentions, recipients))
     read = checkpointed(readings(names, vocabulary(names, forms)))
-    return read.select("name", "form").join(resolve(read), "form").select("name", "entity")
+    return read.select("name", "form").join(resolve(read).hint("merge"), "form").select("name", "entity")
 
 
 def variant_pairs(named: DataFrame) -> DataFrame:
     """(name_a, name_b): all pairs of different names of one entity, name_a < name_b."""
     a, b = named.select("entity", F.col("name").alias("name_a")), named.select("entity", F.col("name").alias("name_b"))
-    return a.join(b, "entity").where("name_a < name_b").select("name_a", "name_b")
+    return a.join(b.hint("merge"), "entity").where("name_a < name_b").select("name_a", "name_b")
