@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 #: Labelled documents sampled for each label, at most; bytes of a dictionary.
 SAMPLE_DOCUMENTS, DICTIONARY_BYTES = 250, 100_000
 LEVEL, SWITCH, OTHER_SCRIPT, PASSAGE = 3, 14, 20, 2
-#: Margin in bytes below which a sentence alone has no language.
-NARROW = 3
 
 # Common words and phrases of each language, for the first dictionaries.
 SEEDS = {
@@ -179,21 +177,22 @@ class Classifier:
 def fit(sample: list[tuple[str, str]], rounds: int = 2) -> Dictionaries:
     """Dictionaries from (label, text) pairs, some of them wrong, and the seeds.
 
-    First a sentence counts for its label only if the seeds alone say the same by a wide
-    margin; then the passages of each text, found with dictionaries of the other texts,
+    First a sentence counts for its label only if it has more of that language's seed
+    words than of any other's; then the passages of each text, found with dictionaries of the other texts,
     say what language their sentences are in.
     """
     halves: list[dict[str, list[str]]] = [{c: [] for c in SEEDS} for _ in (0, 1)]
-    seeded = Classifier(Dictionaries({c: s.encode() for c, s in SEEDS.items()}))
+    common = {c: {w.strip(".,") for w in s.lower().split()} for c, s in SEEDS.items()}
     texts = list(dict.fromkeys(t for _, t in sample))
     label_of = {t: label for label, t in sample}
     for i, text in enumerate(texts):
         for a, b in sentences(text):
             s = plain(text[a:b])
-            small = small_words(s)
+            small = {w.strip(".,;:!?") for w in small_words(s)}
             if len(small) > WORDS:
-                code = _winner(seeded.sizes(s, small), 2 * NARROW)
-                if code and code[:2] == label_of[text]:
+                met = {c: len(small & own) for c, own in common.items()}
+                code = max(met, key=met.__getitem__)
+                if code[:2] == label_of[text] and met[code] > max(n for c, n in met.items() if c[:2] != code[:2]):
                     halves[i % 2][code].append(s)
     for _ in range(rounds):
         made = [Classifier(_dictionaries(by, DICTIONARY_BYTES // 2)) for by in halves]
@@ -211,15 +210,6 @@ def fit(sample: list[tuple[str, str]], rounds: int = 2) -> Dictionaries:
     return _dictionaries({c: [s for pair in zip_longest(halves[0][c], halves[1][c]) for s in pair if s] for c in SEEDS}, DICTIONARY_BYTES)
 
 
-def _winner(sizes: dict[str, int], margin: int) -> str | None:
-    """The code of least size if every other language is above it by the margin."""
-    if not sizes:
-        return None
-    code = min(sizes, key=sizes.__getitem__)
-    others = [n for c, n in sizes.items() if c[:2] != code[:2]]
-    return code if not others or sizes[code] + margin <= min(others) else None
-
-
 def _dictionaries(by: dict[str, list[str]], most: int) -> Dictionaries:
     # the seeds come last, where zstandard reaches them cheaply
     return Dictionaries({c: ("\n".join(dict.fromkeys(own)).encode()[-most:] + b"\n" if own else b"") + SEEDS[c].encode() for c, own in by.items()})

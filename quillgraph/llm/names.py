@@ -32,8 +32,8 @@ from quillgraph.session import checkpointed
 GIVEN_PARTNERS, GIVEN_SHARE = 3, 2e-4
 #: A word is a familiar form of a given name if beside this share of its family names that name stands too.
 FAMILIAR_SHARE = 0.6
-#: A word is of the kind of an organisation if this share of organisations has it.
-KIND_SHARE = 0.01
+#: A word is of the kind of an organisation if it stands before as many different last words as this share of names, and three at least.
+KIND_SHARE = 0.002
 #: A profile that may be a slip of another has at most this part of its mentions.
 SLIP_PART = 0.34
 MOST_ROUNDS = 20
@@ -160,7 +160,8 @@ def _first_reading(names: DataFrame) -> DataFrame:
                     families = [s for s in stems if _FAMILY.search(s)]
                     rows += [(kind, s, families[-1]) for s in stems if families and s != families[-1]]
                 else:
-                    rows += [(kind, frame_stem(w), name) for w in plain]
+                    # a word of the kind stands before many proper names, a proper name before few words
+                    rows += [(kind, frame_stem(w), plain[-1]) for w in plain[:-1]]
             yield pd.DataFrame(rows, columns=["kind", "word", "partner"])
 
     return names.mapInPandas(run, "kind string, word string, partner string")
@@ -171,7 +172,7 @@ def vocabulary(names: DataFrame, forms: DataFrame) -> Vocabulary:
     first = checkpointed(_first_reading(names))
     beside = first.groupBy("kind", "word").agg(F.count_distinct("partner").alias("n"))
     totals = {r["kind"]: r["n"] for r in names.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-    least = F.when(F.col("kind") == "PER", max(GIVEN_PARTNERS, GIVEN_SHARE * totals.get("PER", 0))).otherwise(max(2, KIND_SHARE * totals.get("ORG", 0)))
+    least = F.when(F.col("kind") == "PER", max(GIVEN_PARTNERS, GIVEN_SHARE * totals.get("PER", 0))).otherwise(max(3, KIND_SHARE * totals.get("ORG", 0)))
     kept = beside.where(F.col("n") >= least).collect()
     given = {r["word"]: r["n"] for r in kept if r["kind"] == "PER" and len(r["word"]) > 2}
     pairs = [(r["given_name"], r["short_form"]) for r in forms.select("given_name", "short_form").dropna().distinct().collect()]
