@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.dimensions import GENITIVE_MONTHS, HEADER_PLACES
 from quillgraph.functions.text import light
+from quillgraph.session import checkpointed
 
 # Words of a salutation and of a signature, and the marker of an address.
 SALUTATIONS = ["Draga", "Dragi", "Poštovana", "Postovana", "Poštovani", "Postovani", "gospođice", "gospodice"]
@@ -127,9 +128,12 @@ def segments(lines: DataFrame, group: str, pattern: str | None = None, author_pa
 
 def letters(segmented: DataFrame, group: str) -> DataFrame:
     """Letters as they are stored: an id that counts through the groups in order, files and pages joined as text."""
-    # letters of earlier groups come first; the number of letters in each group is small beside the letters
-    counts = segmented.groupBy(group).agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = segmented.join(before.select(F.col(group).alias("_g"), "before"), F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    # the groups in order, by ranges; only one number for each range is summed in one place
+    counts = checkpointed(segmented.groupBy(group).agg(F.count("*").alias("n")).repartitionByRange(group).withColumn("range", F.spark_partition_id()))
+    ranges = counts.groupBy("range").agg(F.sum("n").alias("all"))
+    start = ranges.select("range", F.coalesce(F.sum("all").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = counts.withColumn("inside", inside).join(start, "range").select(F.col(group).alias("_g"), (F.col("start") + F.col("inside")).alias("before"))
+    numbered = segmented.join(before, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
     pages = F.array_join(F.array_sort(F.transform("source_pages", lambda p: p.cast("string"))), ";")
     return numbered.select(F.format_string("letter_%04d", F.col("before") + F.col("letter_no")).alias("letter_id"), F.array_join("source_page_files", ";").alias("source_page_files"), pages.alias("source_pages"), "raw_header", "text")
