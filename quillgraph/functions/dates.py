@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillgraph.dimensions import MONTHS, TEXT_MONTHS
-from quillgraph.functions.spans import matches, outermost
+from quillgraph.functions.spans import matches, once, outermost
 from quillgraph.functions.text import col
 
 _MONTH_WORD = "|".join(sorted(map(re.escape, TEXT_MONTHS), key=lambda m: (-len(m), m)))
@@ -67,14 +67,17 @@ def header(c: Column | str) -> Column:
     Of each pattern only its first match counts; an invalid month leads to the next pattern.
     """
     head = F.array_join(F.slice(F.split(F.coalesce(col(c), F.lit("")), "\n"), 1, HEADER_LINES), "\n")
-    tried = []
-    for pattern, (place, d, m, y) in HEADER_PATTERNS:
-        part = lambda g, p=pattern: F.regexp_extract(head, p, g)
-        number = month(part(m))
-        found = F.struct(
-            (F.regexp_replace(part(place), r"(?U)^\s+|\s+$", "") if place else F.lit(None).cast("string")).alias("place"),
-            iso(year(part(y)), number, _number(part(d))).alias("date_iso"),
-            part(0).alias("matched"),
-        )
-        tried.append(F.when((part(0) != "") & number.isNotNull(), found))
-    return F.coalesce(*tried)
+
+    def tried(pattern: str, groups: tuple[int | None, int, int, int]) -> Column:
+        place, d, m, y = groups
+
+        def found(matched: Column) -> Column:
+            # the parts are read from the match alone, which is short
+            part = lambda g: F.regexp_extract(matched, pattern, g)
+            where = F.regexp_replace(part(place), r"(?U)^\s+|\s+$", "") if place else F.lit(None).cast("string")
+            valid = lambda number: F.when((matched != "") & number.isNotNull(), F.struct(where.alias("place"), iso(year(part(y)), number, _number(part(d))).alias("date_iso"), matched.alias("matched")))
+            return once(month(part(m)), valid)
+
+        return once(F.regexp_extract(head, pattern, 0), found)
+
+    return F.coalesce(*[tried(p, g) for p, g in HEADER_PATTERNS])

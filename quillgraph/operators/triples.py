@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillgraph.config import Config
 from quillgraph.dimensions import SCHEMA_TYPES
 from quillgraph.functions.text import canonical_composed, uri_slug
+from quillgraph.session import checkpointed
 
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 RDFS_LABEL = "http://www.w3.org/2000/01/rdf-schema#label"
@@ -71,7 +72,8 @@ def triples(letters: DataFrame, entities: DataFrame, mentions: DataFrame, config
     collection = base + config.collection_id
     spark = letters.sparkSession
     head = _emit(spark.range(1), F.lit(collection), [_iri(RDF_TYPE, SCHEMA + "Collection"), _text(RDFS_LABEL, F.lit(config.collection_label), lang=lang), _text(DCTERMS + "source", F.lit(config.source_label), lang=lang)])
-    known = entities_of(letters, entities, mentions, config)
+    # four parts of the graph meet the entities, so they are computed once
+    known = checkpointed(entities_of(letters, entities, mentions, config))
     index = entity_index(known)
     classes = F.create_map(*[F.lit(x) for k, v in SCHEMA_TYPES.items() for x in (k, SCHEMA + v)])
     of_entities = _emit(known, F.col("uri"), [_iri(RDF_TYPE, F.coalesce(F.try_element_at(classes, F.col("type")), F.lit(SCHEMA + "Thing"))), _text(RDFS_LABEL, F.col("label"), lang=lang), _text(DCTERMS + "type", F.col("type")), _iri(SKOS + "exactMatch", F.col("wikidata_uri")), _iri(DCTERMS + "source", F.col("wikidata_uri"))])
@@ -84,9 +86,12 @@ def triples(letters: DataFrame, entities: DataFrame, mentions: DataFrame, config
         rows = rows.join(own, keyed(canonical_composed(c)) == F.col("_k"), "left").drop("_k")
     of_letters = _emit(rows, letter_uri(F.col("letter_id")), [_iri(RDF_TYPE, base + "Letter"), _iri(RDF_TYPE, SCHEMA + "Message"), _iri(DCTERMS + "isPartOf", collection), _text(DCTERMS + "identifier", F.col("letter_id")), _text(PROV + "hadPrimarySource", F.col("source_page_files")), _text(SCHEMA + "pagination", F.col("source_pages")), _text(SCHEMA + "dateSent", F.col("date_iso"), XSD + "date"), _text(SCHEMA + "text", F.col("text"), lang=lang), _iri(SCHEMA + "sender", F.col("_sender")), _iri(SCHEMA + "recipient", F.col("_recipient")), _iri(SCHEMA + "locationCreated", F.col("_place_written"))])
     said = mentions.select("letter_id", "ordinal", canonical_composed("text").alias("label"), F.upper(F.coalesce(F.nullif("label", F.lit("")), F.lit("MISC"))).alias("type"), F.col("start").try_cast("int").alias("start"), F.col("end").try_cast("int").alias("end"), F.col("score").try_cast("double").alias("score"), "model").where("label <> ''")
-    said = said.withColumn("key", keyed(F.col("label"))).join(index, ["key", "type"]).withColumn("letter", letter_uri(F.col("letter_id")))
+    # repeated rows go before they become eight triples each
+    said = said.dropDuplicates().withColumn("key", keyed(F.col("label"))).join(index, ["key", "type"]).withColumn("letter", letter_uri(F.col("letter_id")))
     said = said.withColumn("mention", F.concat(F.lit(base + "mention/"), uri_slug(F.coalesce("letter_id", F.lit("letter"))), F.lit("/"), F.col("ordinal").cast("string")))
-    of_mentions = _emit(said, F.col("letter"), [_iri(SCHEMA + "mentions", F.col("uri")), _iri(base + "hasMention", F.col("mention"))])
+    pairs = said.select("letter", "uri").distinct().select(F.col("letter").alias("s"), _iri(SCHEMA + "mentions", F.col("uri")).alias("t")).select("s", "t.*")
+    has = said.select(F.col("letter").alias("s"), _iri(base + "hasMention", F.col("mention")).alias("t")).select("s", "t.*")
     mentioned = _emit(said, F.col("mention"), [_iri(RDF_TYPE, base + "EntityMention"), _iri(base + "mentionOf", F.col("uri")), _text(base + "mentionText", F.col("label"), lang=lang), _text(DCTERMS + "type", F.col("type")), _text(base + "startOffset", F.col("start"), XSD + "integer"), _text(base + "endOffset", F.col("end"), XSD + "integer"), _text(base + "confidence", F.col("score"), XSD + "float"), _text(PROV + "wasGeneratedBy", F.col("model"))])
-    # a mention's own triples are distinct by its ordinal, all others are deduplicated
-    return head.unionByName(of_entities).unionByName(of_letters).unionByName(of_mentions).unionByName(mentioned).dropDuplicates(["s", "p", "o", "o_kind", "datatype", "lang"])
+    # subjects and predicates of the parts differ, so each part is a set by itself
+    key = ["s", "p", "o", "o_kind", "datatype", "lang"]
+    return head.unionByName(of_entities.dropDuplicates(key)).unionByName(of_letters.dropDuplicates(key)).unionByName(pairs).unionByName(has).unionByName(mentioned)
