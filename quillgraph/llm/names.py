@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm.gazetteer import TITLES, frame_stem, stem
+from quillgraph.llm.gazetteer import TITLES, frame_stem, known_forms, stem
 from quillgraph.llm.nametext import fold, latin, one_slip, words
 from quillgraph.session import checkpointed
 
@@ -175,7 +175,7 @@ def vocabulary(names: DataFrame, forms: DataFrame) -> Vocabulary:
     least = F.when(F.col("kind") == "PER", max(GIVEN_PARTNERS, GIVEN_SHARE * totals.get("PER", 0))).otherwise(max(3, KIND_SHARE * totals.get("ORG", 0)))
     kept = beside.where(F.col("n") >= least).collect()
     given = {r["word"]: r["n"] for r in kept if r["kind"] == "PER" and len(r["word"]) > 2}
-    pairs = [(r["given_name"], r["short_form"]) for r in forms.select("given_name", "short_form").dropna().distinct().collect()]
+    pairs = known_forms(forms)
     shorts = {stem(fold(b)) for _, b in pairs}
     learned = _familiar(first.where("kind = 'PER'"), {w: n for w, n in given.items() if w not in shorts}, names.sparkSession)
     shorts |= {b for _, b in learned}
