@@ -25,17 +25,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.llm.gazetteer import TITLES, frame_stem, known_forms, stem
-from quillgraph.llm.nametext import fold, latin, one_slip, words
+from quillgraph.llm.nametext import fold, latin, one_slip, words, written
 from quillgraph.session import checkpointed
 
 #: A word beside family names is a given name if it stands beside this many different ones, and beside this share of them at least; bounds the list to 1 / share words.
 GIVEN_PARTNERS, GIVEN_SHARE = 3, 2e-4
 #: A word is a familiar form of a given name if beside this share of its family names that name stands too.
-FAMILIAR_SHARE = 0.6
+FAMILIAR_SHARE = 0.3
 #: A word is of the kind of an organisation if it stands before as many different last words as this share of names, and three at least.
 KIND_SHARE = 0.002
-#: A profile that may be a slip of another has at most this part of its mentions.
-SLIP_PART = 0.34
+#: A profile that may be a slip of another has fewer mentions, at most this part of its or FEW.
+SLIP_PART, FEW = 0.4, 3
 MOST_ROUNDS = 20
 
 # Endings of family names, folded and without case endings.
@@ -47,9 +47,11 @@ def is_short(word: str) -> bool:
     return len(word) < 3 or (word.endswith(".") and len(word) < 7)
 
 
-def _beginning(word: str) -> list[str]:
-    """What an abbreviation may stand for: words that begin so, or the word itself."""
+def _beginning(word: str, exact: str | None = None) -> list[str]:
+    """What an abbreviation may stand for: words that begin so, or the word itself; an initial whose accent is known, that letter only."""
     s = word.rstrip(".")
+    if len(s) == 1 and exact:
+        return [f"{s}^{exact}"]
     return [s, stem(s) + "$"] if len(s) > 3 else [s]
 
 
@@ -63,12 +65,15 @@ def _addressed(name: str) -> list[str]:
 class Vocabulary:
     """Given names and words of kind, by stem, and what familiar forms stand for."""
 
-    def __init__(self, given: set[str], kinds: set[str], forms: list[tuple[str, str]]):
+    def __init__(self, given: set[str], kinds: set[str], forms: list[tuple[str, str]], learned: list[tuple[str, str]] | None = None):
+        # a learnt form may be an abbreviation as well
+        self.learned = {stem(fold(b)) for _, b in learned or []} - {stem(fold(b)) for _, b in forms}
+        forms = [*forms, *(learned or [])]
         self.given = given | {stem(fold(a)) for a, _ in forms}
         self.kinds = kinds
-        self.familiar: dict[str, list[str]] = {}
+        self.familiar: dict[str, list[tuple[str, str]]] = {}
         for full, short in forms:
-            self.familiar.setdefault(stem(fold(short)), []).append(stem(fold(full)))
+            self.familiar.setdefault(stem(fold(short)), []).append((short.lower(), stem(fold(full))))
         self.slips: dict[str, str | None] = {}
 
     def full_name(self, s: str) -> str | None:
@@ -88,6 +93,7 @@ def read_person(name: str, v: Vocabulary) -> tuple[str | None, list[list[str]],
     plain = _addressed(name)
     if not plain:
         return None, [], None
+    as_written = written(name)
 
     def family(i: int) -> float:
         w = plain[i]
@@ -107,23 +113,24 @@ def read_person(name: str, v: Vocabulary) -> tuple[str | None, list[list[str]],
     for i, w in enumerate(plain):
         if i == at:
             continue
-        s = w.rstrip(".")
+        said = as_written.get(w.rstrip("."))
         if is_short(w):
-            beside.append(_beginning(w))
+            beside.append(_beginning(w, said))
             continue
         s = stem(w)
         own = v.full_name(s)
         if own:
             full = full or own
-            beside.append([own + "$"])
+            beside.append([own + "$", f"{own[0]}^{said[0]}"] if said else [own + "$"])
         elif s in v.familiar:
-            beside.append([s + "$", *(f + "$" for f in v.familiar[s])])
+            # Mica and Mića are forms of different names; without accents either
+            meant = [f for short, f in v.familiar[s] if not said or stem(said) == stem(short)] or [f for _, f in v.familiar[s]]
+            # a learnt form, or one without the listed form's ending, may as well be an abbreviation
+            cut = len(w) < 6 and (s in v.learned or all(len(w) < len(short) for short, _ in v.familiar[s]))
+            beside.append([s + "$", *(f + "$" for f in dict.fromkeys(meant)), *([w.rstrip(".")] if cut else [])])
         else:
-            beside.append([s + "$"])
-    if full:
-        # the full name comes with its familiar forms, so what is there decides
-        return stem(plain[at]), beside, full
-    return stem(plain[at]), beside, None
+            beside.append([s + "$", w.rstrip(".")] if len(w) < 6 else [s + "$"])
+    return stem(plain[at]), beside, full
 
 
 def read_organisation(name: str, v: Vocabulary) -> tuple[str | None, list[list[str]], str | None]:
@@ -179,11 +186,11 @@ def vocabulary(names: DataFrame, forms: DataFrame) -> Vocabulary:
     shorts = {stem(fold(b)) for _, b in pairs}
     learned = _familiar(first.where("kind = 'PER'"), {w: n for w, n in given.items() if w not in shorts}, names.sparkSession)
     shorts |= {b for _, b in learned}
-    return Vocabulary(set(given) - shorts, {r["word"] for r in kept if r["kind"] == "ORG"}, [*pairs, *learned])
+    return Vocabulary(set(given) - shorts, {r["word"] for r in kept if r["kind"] == "ORG"}, pairs, learned)
 
 
 def _familiar(beside: DataFrame, given: dict[str, int], spark: SparkSession) -> list[tuple[str, str]]:
-    """(full, familiar) forms that the list of forms lacks: a word that stands beside family names beside which one other, more usual name stands too."""
+    """(full, familiar) forms that the list of forms lacks: a word that stands beside family names beside which one other, more usual name stands too, three times as often as any third."""
     if not given:
         return []
     # two lists of given names, bounded as above, so what is joined on a family name is a bounded number of words
@@ -192,17 +199,16 @@ def _familiar(beside: DataFrame, given: dict[str, int], spark: SparkSession) ->
     short = pairs.groupBy("word").agg(F.count("*").alias("k")).where(F.col("k") >= 2)
     both = pairs.join(short, "word").alias("a").join(pairs.join(listed, "word").alias("b"), "partner").where((F.col("a.word") != F.col("b.word")) & (F.col("b.families") >= 2 * F.col("a.k")))
     shared = both.groupBy(F.col("a.word").alias("short"), F.col("b.word").alias("full"), F.col("a.k").alias("k")).agg(F.count("*").alias("c")).where((F.col("c") >= F.greatest(F.lit(2), F.lit(FAMILIAR_SHARE) * F.col("k"))) & ((F.col("c") > 2) | (F.substring("short", 1, 1) == F.substring("full", 1, 1))))
-    best: dict[str, tuple[int, str]] = {}
-    tied: set[str] = set()
+    by: dict[str, list[tuple[int, str]]] = {}
     for r in shared.collect():
-        if one_slip(r["short"], r["full"]):  # a slip, not a form
-            continue
-        if r["short"] in best and best[r["short"]][0] == r["c"]:
-            tied.add(r["short"])
-        if r["short"] not in best or best[r["short"]][0] < r["c"]:
-            best[r["short"]] = r["c"], r["full"]
-            tied.discard(r["short"])
-    return [(full, short) for short, (_, full) in sorted(best.items()) if short not in tied]
+        if not one_slip(r["short"], r["full"]):  # else a slip, not a form
+            by.setdefault(r["short"], []).append((r["c"], r["full"]))
+    out = []
+    for short, found in sorted(by.items()):
+        found.sort(reverse=True)
+        if len(found) == 1 or found[0][0] >= 3 * found[1][0]:
+            out.append((found[0][1], short))
+    return out
 
 
 def readings(names: DataFrame, v: Vocabulary) -> DataFrame:
@@ -220,7 +226,7 @@ def readings(names: DataFrame, v: Vocabulary) -> DataFrame:
                     form = f"{kind}|?|" + " ".join(w.rstrip(".") for w in words(name)) if words(name) else f"{kind}|?|{name}"
                 else:
                     beside = sorted({tuple(b) for b in beside})
-                    form = f"{kind}|{family}|" + " ".join(b[0] for b in beside)
+                    form = f"{kind}|{family}|" + " ".join("/".join(b) for b in beside)
                 rows.append((kind, name, n, family, [list(b) for b in beside], full, form))
             yield pd.DataFrame(rows, columns=["kind", "name", "n", "family", "beside", "full", "form"])
 
@@ -263,7 +269,7 @@ def resolve(read: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
 
 def _round(state: DataFrame) -> DataFrame:
     """(entity, to): what this round may merge."""
-    exact = F.flatten(F.transform("beside", lambda w: F.filter(w, lambda a: a.endswith("$"))))
+    exact = F.flatten(F.transform("beside", lambda w: F.filter(w, lambda a: a.endswith("$") | a.contains("^"))))
     # of a record without a full name only the form itself is a spelling, not all it may stand for
     spelled = F.when(F.col("full").isNull(), F.transform(F.filter("beside", lambda w: w[0].endswith("$")), lambda w: w[0])).otherwise(exact)
     fewest = F.max_by("beside", F.when(F.col("full").isNotNull(), -1).otherwise(F.size("beside")))
@@ -275,15 +281,16 @@ def _round(state: DataFrame) -> DataFrame:
     profiles = named.where("full is not null")
     alone = profiles.groupBy("kind", "family").agg(F.count_distinct("entity").alias("k"), F.min("entity").alias("only"))
     known = named.join(alone.hint("merge"), ["kind", "family"], "left")
-    # the family name alone, where only one profile has it; counted, not paired
-    bare = known.where("full is null and size(beside) = 0 and k = 1").select("entity", F.col("only").alias("to"), F.lit(True).alias("same"))
+    # the family name alone, where only one profile has it; counted, not paired. A capital G may be a title at a sentence's start
+    title = F.coalesce((F.size("beside") == 1) & F.try_element_at(F.try_element_at("beside", F.lit(1)), F.lit(1)).isin("g", "g^g"), F.lit(False))
+    bare = known.where(F.col("full").isNull() & ((F.size("beside") == 0) | title) & (F.col("k") == 1)).select("entity", F.col("only").alias("to"), F.lit(True).alias("same"))
     # a block is an initial and a family name, or that with one letter left out: in it are the same names and those one slip apart
     target = profiles.select(F.col("entity").alias("to"), "kind", F.col("family").alias("to_family"), F.col("n").alias("m"), "givens", initial(F.col("givens")).alias("initial")).withColumn("block", F.explode(_shortened(F.col("to_family"))))
     asked = known.where("size(beside) > 0").select("entity", "kind", "family", "n", "full", "k", "beside", initial(F.col("beside")[0]).alias("initial")).withColumn("block", F.explode(_shortened(F.col("family"))))
     met = asked.join(target.hint("merge"), ["kind", "initial", "block"]).where((F.col("entity") != F.col("to")) & _fits(F.col("beside"), F.col("givens")))
     same = (F.col("family") == F.col("to_family")) & F.col("full").isNull()
     # a slip has far fewer mentions than what it is a slip of, unless no profile has its family name
-    fewer = (F.col("n") <= SLIP_PART * F.col("m")) | (F.col("full").isNull() & F.col("k").isNull())
+    fewer = ((F.col("n") < F.col("m")) & (F.col("n") <= F.greatest(F.lit(FEW), SLIP_PART * F.col("m")))) | (F.col("full").isNull() & F.col("k").isNull())
     slip = (F.col("family") != F.col("to_family")) & (F.coalesce("k", F.lit(0)) <= 1) & fewer & _slip(F.col("family"), F.col("to_family"))
     pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare)
     chosen = pairs.groupBy("entity").agg(F.collect_set(F.when(F.col("same"), F.col("to"))).alias("equal"), F.collect_set(F.when(~F.col("same"), F.col("to"))).alias("slips"))

@@ -48,6 +48,14 @@ def words(text: str) -> list[str]:
     return [fold(w).replace("dj", "d") for w in _WORD.findall(latin(text))]
 
 
+def written(name: str) -> dict[str, str]:
+    """Folded words as they are written in small Latin letters, where the name has accents at all: a name without may have lost them."""
+    plain = latin(name).lower()
+    if plain.isascii():
+        return {}
+    return {fold(w).replace("dj", "d"): w for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", plain)}
+
+
 def distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or ``most`` + 1 if it is above ``most``; bit-parallel over the columns of the table."""
     if a == b:
