@@ -5,6 +5,7 @@ import os
 import pytest
 
 from quillgraph.llm.queries import QUERIES
+from quillgraph.llm.sql import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -23,3 +24,17 @@ def test_query(spark, name):
     assert rows
     if name in COLUMNS:
         assert len(rows) == len({str(r) for r in rows})
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql(spark, name):
+    from collections import Counter
+
+    c = pytest.importorskip("duckdb").connect()
+    for f in os.listdir(FOLDER):
+        c.execute(f"create view {f.removesuffix('.parquet')} as select * from '{FOLDER}/{f}'")
+    df = QUERIES[name](spark, FOLDER)
+    r = c.execute(ORACLES[name])
+    at = [[d[0] for d in r.description].index(col) for col in df.columns]
+    assert Counter(tuple(row) for row in df.collect()) == Counter(tuple(row[i] for i in at) for row in r.fetchall())
