@@ -23,38 +23,38 @@ def address_block(text: Column) -> Column:
     return F.when(at > 0, F.array_join(F.slice(lines, at.cast("int"), ADDRESS_BLOCK), "\n"))
 
 
-def from_address(text: Column, persons: Column) -> Column:
-    """The longest person of ``persons`` (array of struct<ordinal,text,...> in order) in the address block, else two capitalised words there."""
-    block = address_block(text)
-    named = F.filter(persons, lambda p: F.contains(block, p["text"]))
-    longest = F.array_max(F.transform(named, lambda p: F.struct(F.length(p["text"]).alias("n"), (-p["ordinal"]).alias("o"), p["text"].alias("t"))))["t"]
-    plain = F.nullif(F.regexp_extract(block, rf"(?U){_TITLES}\s*{_NAME}", 1), F.lit(""))
-    return F.when(block.isNotNull(), F.coalesce(longest, canonical_composed(plain)))
-
+def named_in_address(letters: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(letter_id, _named): the longest person mentioned in the letter whose name stands in its address block, of equals the first.
 
-def from_greeting(text: Column, persons: Column) -> Column:
-    """The name a greeting in the first lines holds, else the first person near the start; null without a greeting."""
-    head = F.array_join(F.slice(F.split(text, "\n"), 1, HEAD_LINES), "\n")
-    greets = head.rlike(GREETING)
-    tail = canonical_composed(F.regexp_extract(head, GREETING, 1))
-    near = F.try_element_at(F.filter(persons, lambda p: p["start"] < NEAR_START), F.lit(1))["text"]
-    return F.when(greets, F.when((F.size(F.split(tail, " ")) >= 2) & ~tail.rlike(NO_NAME), tail).otherwise(near))
+    Only letters with a block meet mentions, each distinct name of a letter once.
+    """
+    blocks = letters.select("letter_id", address_block(F.col("text")).alias("block")).where("block is not null")
+    names = mentions.where("label = 'PER' and text is not null and letter_id is not null").groupBy("letter_id", "text").agg(F.min("ordinal").alias("ordinal"))
+    found = blocks.join(names, "letter_id").where(F.contains("block", "text"))
+    return found.groupBy("letter_id").agg(F.max(F.struct(F.length("text").alias("n"), (-F.col("ordinal")).alias("o"), F.col("text").alias("t")))["t"].alias("_named"))
 
 
-def persons_of(mentions: DataFrame) -> DataFrame:
-    """(letter_id, persons): the person mentions of each letter in their order."""
-    named = mentions.where("label = 'PER' and text is not null and letter_id is not null")
-    return named.groupBy("letter_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", "text", "start"))).alias("persons"))
+def near_start(mentions: DataFrame) -> DataFrame:
+    """(letter_id, _near): the first person of a letter that is mentioned near its start."""
+    return mentions.where(F.col("letter_id").isNotNull() & F.col("text").isNotNull() & (F.col("label") == "PER") & (F.col("start") < NEAR_START)).groupBy("letter_id").agg(F.min_by("text", "ordinal").alias("_near"))
 
 
 def recipients(letters: DataFrame, mentions: DataFrame, default: str = "") -> DataFrame:
-    """``letters`` with ``recipient``: from the address, else the greeting, else the default."""
-    with_persons = letters.join(persons_of(mentions), "letter_id", "left")
-    none = F.expr("cast(array() as array<struct<ordinal:bigint,text:string,start:int>>)")
-    persons = F.coalesce("persons", none)
+    """``letters``, each id once, with ``recipient``: from the address, else the greeting, else the default.
+
+    The address gives the longest person mentioned in it, else two capitalised words; the
+    greeting the name it holds, else the first person near the start.
+    """
+    rows = letters.join(named_in_address(letters, mentions), "letter_id", "left").join(near_start(mentions), "letter_id", "left")
     text = F.coalesce("text", F.lit(""))
-    found = F.coalesce(F.nullif(from_address(text, persons), F.lit("")), F.nullif(from_greeting(text, persons), F.lit("")), F.lit(default))
-    return with_persons.withColumn("recipient", found).drop("persons")
+    block = address_block(text)
+    plain = F.nullif(F.regexp_extract(block, rf"(?U){_TITLES}\s*{_NAME}", 1), F.lit(""))
+    addressed = F.coalesce("_named", canonical_composed(plain))
+    head = F.array_join(F.slice(F.split(text, "\n"), 1, HEAD_LINES), "\n")
+    tail = canonical_composed(F.regexp_extract(head, GREETING, 1))
+    greeted = F.when(head.rlike(GREETING), F.when((F.size(F.split(tail, " ")) >= 2) & ~tail.rlike(NO_NAME), tail).otherwise(F.col("_near")))
+    found = F.coalesce(F.nullif(F.when(block.isNotNull(), addressed), F.lit("")), F.nullif(greeted, F.lit("")), F.lit(default))
+    return rows.withColumn("recipient", found).drop("_named", "_near")
 
 
 def enriched(letters: DataFrame, mentions: DataFrame, sender: str = "", default_recipient: str = "") -> DataFrame:
