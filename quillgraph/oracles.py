@@ -168,6 +168,31 @@ def _predicates() -> str:
     return GRAPH + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{p}' AS p, CAST({n} AS BIGINT) AS n" for p, n in rows) + ") WHERE n > 0"
 
 
+def _esc(x: str) -> str:
+    for code, written in ((92, "chr(92) || chr(92)"), (34, "chr(92) || chr(34)"), (10, "chr(92) || 'n'"), (13, "chr(92) || 'r'"), (9, "chr(92) || 't'")):
+        x = f"replace({x}, chr({code}), {written})"
+    return f"chr(34) || {x} || chr(34)"
+
+
+def _lines() -> str:
+    """Every triple as a line of N-Triples."""
+    rdf, rdfs, xsd, lang = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", "http://www.w3.org/2000/01/rdf-schema#label", "http://www.w3.org/2001/XMLSchema#", "'@sr-Latn'"
+    iri = lambda x: f"'<' || {x} || '>'"
+    text = lambda x, tail="''": f"{_esc(x)} || {tail}"
+    typed = lambda x, t: text(x, f"'^^<{xsd}{t}>'")
+    c = f"'{BASE}collection'"
+    rows = [
+        ("(SELECT 1)", c, rdf, iri(f"'{S}Collection'")), ("(SELECT 1)", c, rdfs, text("'Collected letters'", lang)), ("(SELECT 1)", c, D + "source", text("'Printed edition'", lang)),
+        ("t_class", "uri", rdf, iri("class")), ("t_label", "uri", rdfs, text("label", lang)), ("t_dtype", "uri", D + "type", text("type")), ("(SELECT DISTINCT uri, wuri FROM known)", "uri", K + "exactMatch", iri("wuri")), ("(SELECT DISTINCT uri, wuri FROM known)", "uri", D + "source", iri("wuri")),
+        ("lt", "letter", rdf, iri(f"'{BASE}Letter'")), ("lt", "letter", rdf, iri(f"'{S}Message'")), ("lt", "letter", D + "isPartOf", iri(c)), ("lt", "letter", D + "identifier", text("nullif(letter_id, '')")), ("lt", "letter", P + "hadPrimarySource", text("nullif(source_page_files, '')")), ("lt", "letter", S + "pagination", text("nullif(source_pages, '')")),
+        ("t_date", "letter", S + "dateSent", typed("date", "date")), ("lt", "letter", S + "text", text("nullif(text, '')", lang)), ("t_sender", "letter", S + "sender", iri("uri")), ("t_recipient", "letter", S + "recipient", iri("uri")), ("t_place", "letter", S + "locationCreated", iri("uri")), ("t_mentions", "letter", S + "mentions", iri("uri")),
+        ("mn", "letter", BASE + "hasMention", iri("mention")), ("mn", "mention", rdf, iri(f"'{BASE}EntityMention'")), ("mn", "mention", BASE + "mentionOf", iri("uri")), ("mn", "mention", BASE + "mentionText", text("lab", lang)), ("mn", "mention", D + "type", text("type")),
+        ("mn", "mention", BASE + "startOffset", typed('"start"::VARCHAR', "integer")), ("mn", "mention", BASE + "endOffset", typed('"end"::VARCHAR', "integer")), ("mn", "mention", BASE + "confidence", typed("score::VARCHAR", "float")), ("mn", "mention", P + "wasGeneratedBy", text("nullif(model, '')")),
+    ]
+    parts = " UNION ALL ".join(f"SELECT '<' || {s} || '> <{p}> ' || {o} || ' .' AS value FROM {t}" for t, s, p, o in rows)
+    return GRAPH + f", mn AS (SELECT *, '{BASE}mention/' || {uri_slug("coalesce(letter_id, 'letter')")} || '/' || ordinal AS mention FROM ml) SELECT value FROM ({parts}) WHERE value IS NOT NULL"
+
+
 _counter = lambda t, a, b, c, where="true": f"SELECT {a} AS letter_id, {strip(b)} AS text, upper(trim({c})) AS label, count(*) AS n FROM {t} WHERE upper(trim({c})) IN ('PER', 'LOC', 'ORG', 'MISC') AND {strip(b)} <> '' AND {where} GROUP BY 1, 2, 3"
 BOTH = f"""b AS (SELECT letter_id, text, label, sum(g) AS g, sum(p) AS p FROM (SELECT letter_id, text, label, n AS g, 0 AS p FROM ({_counter('entity_network_edges', 'source', 'target', 'target_type', "source_type = 'LETTER'")}) UNION ALL SELECT letter_id, text, label, 0, n FROM ({_counter('ner_entities', 'letter_id', 'text', 'label')})) GROUP BY 1, 2, 3)"""
 NER = f"""WITH {BOTH}, t AS (SELECT k.label AS type, coalesce(sum(g), 0) AS gold, coalesce(sum(p), 0) AS predicted, coalesce(sum(least(g, p)), 0) AS correct FROM (VALUES ('PER'), ('LOC'), ('ORG'), ('MISC')) k(label) LEFT JOIN b USING (label) GROUP BY 1),
@@ -218,6 +243,9 @@ ORACLES: dict[str, str] = {
         SELECT letter_id, CASE WHEN n = 1 THEN e ELSE clean END AS text, 'LOC' AS label, CAST(5 + pos + CASE WHEN n = 1 THEN 0 ELSE lead END AS INT) AS "start", CAST(5 + pos + CASE WHEN n = 1 THEN length(e) ELSE lead + length(clean) END AS INT) AS "end" FROM c WHERE n = 1 OR clean <> ''""",
     "mention_union_dedupe": f"""SELECT letter_id, text, label, "start", "end", min(ordinal) AS ordinal FROM (SELECT letter_id, text, label, "start", "end", ordinal FROM ner_entities WHERE label <> 'DATE' UNION ALL SELECT letter_id, text, label, "start", "end", 1099511627776 FROM {DATES}) GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4, 5"),
     "gazetteer_mentions": f"""SELECT letter_id, w.text, 'LOC' AS label, CAST(w."start" AS INT) AS "start", CAST(w."end" AS INT) AS "end", 1.0::DOUBLE AS score, 'gazetteer-v1' AS model FROM {spans(_texts, 'letter_id', '[' + chr(92) + 'p{L}' + chr(92) + 'p{M}]+')} w JOIN (SELECT DISTINCT label FROM manual_links WHERE type = 'LOC') d ON d.label = w.text""",
+    "clean_mentions": f"""WITH r AS (SELECT * FROM ner_entities WHERE "start" IS NOT NULL AND "end" IS NOT NULL AND letter_id IS NOT NULL),
+        d AS (SELECT *, {surface('text')} AS t FROM r WHERE NOT (label = 'DATE' AND EXISTS (SELECT 1 FROM r o WHERE o.label = 'DATE' AND o.letter_id = r.letter_id AND o."start" <= r."start" AND o."end" >= r."end" AND length(o.text) > length(r.text))))
+        SELECT min(ordinal) AS ordinal, letter_id, t AS text, label, "start", "end", model FROM d WHERE t NOT IN ({', '.join(map(q, DROPPED_SURFACES))}) AND NOT ({' OR '.join(f'contains(t, {q(p)})' for p in DROPPED_PARTS)}) AND NOT (label IN ('PER', 'LOC', 'ORG') AND length(t) <= 2) AND NOT starts_with(t, '##') GROUP BY letter_id, t, label, "start", "end", model""",
     "recipient_inference": RECIPIENTS,
     "letter_enrich": f"SELECT h.letter_id, 'Vukan Zvelmorić' AS sender, 'Darinka Stolburić' AS recipient, h.date_iso, coalesce({formed('''nullif(nullif(h.place, ''), 'nan')''')}, {formed(line_start(LINE_START_PLACES))}) AS place_written, h.matched AS date_header_match FROM {HEADS} h JOIN {L} USING (letter_id)",
     "entity_table": f"SELECT first(label ORDER BY ordinal) AS label, type, count(*) AS mention_count FROM (SELECT {canonical('text')} AS label, upper(coalesce(label, 'MISC')) AS type, ordinal FROM ner_entities) WHERE label <> '' GROUP BY lower(label), type",
@@ -225,6 +253,7 @@ ORACLES: dict[str, str] = {
         d AS (SELECT lower({canonical('label')}) AS k, upper(type) AS type, max(wikidata_uri) AS u FROM manual_links WHERE type <> 'PER' GROUP BY 1, 2), a AS (SELECT lower(label) AS k, min(wikidata_uri) AS u FROM manual_links WHERE type = 'PER' GROUP BY 1), b AS (SELECT lower(label) AS k, min(wikidata_uri) AS u FROM manual_links WHERE type = 'LOC' GROUP BY 1)
         SELECT e.label, e.type, mention_count, coalesce(d.u, CASE WHEN e.type IN ('PER', 'LOC', 'ORG', 'WORK', 'PUBLICATION') THEN coalesce(a.u, b.u) END) AS wikidata_uri FROM e LEFT JOIN d ON lower(e.label) = d.k AND e.type = d.type LEFT JOIN a ON lower(e.label) = a.k LEFT JOIN b ON lower(e.label) = b.k""",
     "triples_by_predicate": _predicates(),
+    "triple_lines": _lines(),
     "q_letters_by_date": GRAPH + " SELECT l.letter, d.date, pl.label AS place_label, rl.label AS recipient_label FROM lt l LEFT JOIN t_date d USING (letter) LEFT JOIN (SELECT letter, label FROM t_place JOIN t_label USING (uri)) pl USING (letter) LEFT JOIN (SELECT letter, label FROM t_recipient JOIN t_label USING (uri)) rl USING (letter)",
     "q_mentioned_persons": GRAPH + f" SELECT uri AS person, label, count(*) AS mentions FROM t_mentions JOIN (SELECT letter FROM lt) USING (letter) JOIN t_label USING (uri) WHERE uri IN (SELECT uri FROM t_class WHERE class = '{S}Person') GROUP BY 1, 2",
     "q_letters_places": GRAPH + f" SELECT m.letter, d.date, pl.label AS written_place_label, t.label AS mentioned_place_label FROM t_mentions m JOIN (SELECT letter FROM lt) USING (letter) JOIN t_label t USING (uri) LEFT JOIN t_date d USING (letter) LEFT JOIN (SELECT letter, label FROM t_place JOIN t_label USING (uri)) pl USING (letter) WHERE uri IN (SELECT uri FROM t_class WHERE class = '{S}Place')",
