@@ -67,7 +67,9 @@ class Vocabulary:
 
     def __init__(self, given: set[str], kinds: set[str], forms: list[tuple[str, str]], learned: list[tuple[str, str]] | None = None):
         # a learnt form may be an abbreviation as well
-        self.learned = {stem(fold(b)) for _, b in learned or []} - {stem(fold(b)) for _, b in forms}
+        self.listed: dict[str, list[str]] = {}
+        for _, short in forms:
+            self.listed.setdefault(stem(fold(short)), []).append(short)
         forms = [*forms, *(learned or [])]
         self.given = given | {stem(fold(a)) for a, _ in forms}
         self.kinds = kinds
@@ -126,7 +128,7 @@ def read_person(name: str, v: Vocabulary) -> tuple[str | None, list[list[str]],
             # Mica and Mića are forms of different names; without accents either
             meant = [f for short, f in v.familiar[s] if not said or stem(said) == stem(short)] or [f for _, f in v.familiar[s]]
             # a learnt form, or one without the listed form's ending, may as well be an abbreviation
-            cut = len(w) < 6 and (s in v.learned or all(len(w) < len(short) for short, _ in v.familiar[s]))
+            cut = len(w) < 6 and all(len(w) < len(short) for short in v.listed.get(s, ()))
             beside.append([s + "$", *(f + "$" for f in dict.fromkeys(meant)), *([w.rstrip(".")] if cut else [])])
         else:
             beside.append([s + "$", w.rstrip(".")] if len(w) < 6 else [s + "$"])
