@@ -84,6 +84,14 @@ def p6_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return refine.collapsed(read_table(spark, folder, "ner_entities"), ["letter_id", "label"], "ordinal", "text")
 
 
+def p6_records(spark: SparkSession, folder: str) -> DataFrame:
+    """One record for each group of mentions and of edges, with the number of its copies; an edge without a letter stands alone."""
+    edges = read_table(spark, folder, "entity_network_edges")
+    apart = edges.where("NOT coalesce(source_type = 'LETTER' OR target_type = 'LETTER', false)").select("ordinal", F.lit(1).cast("bigint").alias("n_copies"))
+    linked = refine.collapsed(edge_entities(edges), ["letter_id", "entity_type"], "ordinal", "entity").unionByName(apart)
+    return p6_collapsed(spark, folder).select(F.lit("ner_entities").alias("tab"), "*").unionByName(linked.select(F.lit("entity_network_edges").alias("tab"), "*"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokenize.token_ids(read_table(spark, folder, "documents"))
@@ -100,4 +108,4 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(read_table(spark, folder, "documents")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p7_ids, p8_containers, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p6_records, p7_ids, p8_containers, p9_found)}
