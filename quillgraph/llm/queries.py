@@ -51,6 +51,13 @@ def p4_forms(spark: SparkSession, folder: str) -> DataFrame:
     return skeleton.same_form(read_table(spark, folder, "ner_nel_entities"), "label").select("ordinal", "form")
 
 
+def p4_table_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every mention and every entity label in its one consistent form."""
+    mentions = skeleton.spelled_forms(read_table(spark, folder, "ner_entities"), "ordinal", "text")
+    entities = skeleton.spelled_forms(read_table(spark, folder, "ner_nel_entities"), "ordinal", "label")
+    return mentions.select(F.lit("ner_entities").alias("tab"), "*").unionByName(entities.select(F.lit("ner_nel_entities").alias("tab"), "*"))
+
+
 def edge_entities(edges: DataFrame) -> DataFrame:
     """(ordinal, letter_id, entity_type, entity) of edges, whichever end the letter is at; of two letter ends the target is the entity."""
     at_target = F.col("target_type") == "LETTER"
@@ -108,4 +115,4 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(read_table(spark, folder, "documents")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p6_records, p7_ids, p8_containers, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p4_table_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p6_records, p7_ids, p8_containers, p9_found)}

@@ -68,6 +68,13 @@ def same_form(df: DataFrame, text_col: str, into: str = "form") -> DataFrame:
     return df.withColumn(into, mapped(printed_form, F.col(text_col)))
 
 
+def spelled_forms(df: DataFrame, ordinal_col: str, text_col: str) -> DataFrame:
+    """(ordinal, form): every row with the form of its text, computed once for each distinct spelling; null stays null."""
+    rows = df.select(F.col(ordinal_col).alias("ordinal"), F.col(text_col).alias("text"))
+    forms = same_form(rows.select("text").dropna().distinct(), "text")
+    return rows.join(forms, "text", "left").select("ordinal", "form")
+
+
 def look_same_pairs(df: DataFrame, scope: list[str], ordinal_col: str, text_col: str) -> DataFrame:
     """(ordinal_a, ordinal_b): rows of one scope whose texts differ and look the same, ordinal_a < ordinal_b.
 

@@ -69,3 +69,23 @@ def test_records_by_the_sql_of_copies(spark):
     want = {(*x, more[x] + 1) for x in every if x not in copies}
     got = [tuple(r) for r in QUERIES["p6_records"](spark, FOLDER).collect()]
     assert set(got) == want and len(got) == len(want) and sum(r[2] for r in got) == len(every)
+
+
+def test_forms_of_mentions_and_entities(spark, tmp_path):
+    same = ["Vukan", "Vuk\u200ban", "Ｖｕｋａｎ", "Vukаn"]
+    saved(spark, tmp_path, "ner_entities", [(i, "a", t, "PER") for i, t in enumerate([*same, *same, None, "", "vukan"])], MENTIONS)
+    saved(spark, tmp_path, "ner_nel_entities", [(i, t, "PER") for i, t in enumerate([*same, None])], "ordinal bigint, label string, type string")
+    got = {(tab, o): f for tab, o, f in QUERIES["p4_table_forms"](spark, str(tmp_path)).collect()}
+    forms = ["Vukan"] * 8 + [None, "", "vukan"]
+    assert got == {("ner_entities", i): f for i, f in enumerate(forms)} | {("ner_nel_entities", i): f for i, f in enumerate(["Vukan"] * 4 + [None])}
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_forms_by_the_sql_of_forms(spark):
+    from quillgraph.llm.sql import form
+
+    c = pytest.importorskip("duckdb").connect()
+    want = {(tab, *r) for tab, col in (("ner_entities", "text"), ("ner_nel_entities", "label")) for r in c.execute(f"select ordinal, {form(col)} from '{FOLDER}/{tab}.parquet'").fetchall()}
+    got = [tuple(r) for r in QUERIES["p4_table_forms"](spark, FOLDER).collect()]
+    # entities that were delivered twice come out twice
+    assert set(got) == want and len(got) == sum(c.execute(f"select count(*) from '{FOLDER}/{t}.parquet'").fetchone()[0] for t in ("ner_entities", "ner_nel_entities"))
