@@ -62,19 +62,12 @@ class Reading:
 class Frame:
     """What the entries of one type share: their frame words, and familiar forms of given names."""
 
-    def __init__(self, kind: str, labels: Iterable[str], forms: Iterable[tuple[str, str]] = ()):
+    def __init__(self, kind: str, common: Iterable[str], forms: Iterable[tuple[str, str]] = ()):
         self.kind = kind
-        entries = [[w for w in words(x) if w not in ",("] for x in labels]
-        before: dict[str, set[str]] = defaultdict(set)
-        for e in entries:
-            for w in e[:-1]:
-                before[frame_stem(w)].add(e[-1])
-        least = max(2, FRAME_SHARE * len(entries))
-        self.common = {w for w, last in before.items() if len(last) >= least}
+        self.common = set(common)
         # of each familiar form by stem, the given names it stands for and how it is written with them
         self.familiar: dict[str, dict[str, str | None]] = defaultdict(dict)
         if kind == PERSON:
-            self.common |= {frame_stem(e[0]) for e in entries if len(e) > 1}
             for full, short in forms:
                 self.familiar[stem(fold(short))][frame_stem(fold(full).replace("dj", "d"))] = short.lower()
                 self.common.add(frame_stem(fold(full)))
@@ -167,20 +160,6 @@ class Matcher:
         return d, sorted(best[d])
 
 
-    def hints(self, label: str) -> list[tuple[str, str, str, int]]:
-        """(word, given name, family name, weight): an unknown word beside a listed person's family name may be a familiar form; beside the full name it is."""
-        said = self.frame.read(label)
-        out = []
-        for own, _ in self.of.get(stem(said.name), ()) if said else ():
-            if own.name != said.name or not own.frame:
-                continue
-            full = any(frame_stem(w) == frame_stem(own.frame[0]) for w in said.frame)
-            for w in said.frame:
-                if len(w.rstrip(".")) > 2 and not w.endswith(".") and not self.frame.is_frame(w) and (full or len(said.frame) == 1):
-                    out.append((stem(w), own.frame[0], own.name, 2 if full else 1))
-        return out
-
-
 def _matchers(entries: pd.DataFrame, frames: dict[str, Frame]) -> dict[str, Matcher]:
     return {k: Matcher(frames[k], list(zip(g["label"], g["uri"]))) for k, g in entries.groupby("type") if k in frames}
 
@@ -214,11 +193,11 @@ def nearest_entries(labels: DataFrame, entries: DataFrame, forms: DataFrame | No
                 rows += [(kind, label, uri, found[0]) for uri in found[1]]
         return pd.DataFrame(rows, columns=["type", "label", "uri", "distance"])
 
+    # both ways of searching read labels by the same frames
+    frames = _frames_of(entries, given)
+    _learn(wanted, entries, frames)
     if n <= broadcast_entries:
-        listed = entries.toPandas()
-        frames = {k: Frame(k, g["label"], given) for k, g in listed.groupby("type")}
-        _learn(wanted, frames, listed)
-        shared = spark.sparkContext.broadcast((listed, frames))
+        shared = spark.sparkContext.broadcast((entries.toPandas(), frames))
         trees: dict[int, dict[str, Matcher]] = {}
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,8 +207,6 @@ def nearest_entries(labels: DataFrame, entries: DataFrame, forms: DataFrame | No
 
         found = wanted.repartition(spark.sparkContext.defaultParallelism * 2).mapInPandas(run, out)
     else:
-        # frame words are counted over the whole list; what is frequent in a share of it has a bounded number
-        frames = _frames_of(entries, given)
         shards = -(-n // broadcast_entries)
         split = entries.withColumn("shard", F.expr(f"pmod(xxhash64(label, uri), {shards})"))
         visits = wanted.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("salt", F.expr("pmod(xxhash64(label), 16)"))
@@ -246,18 +223,32 @@ def nearest_entries(labels: DataFrame, entries: DataFrame, forms: DataFrame | No
     return winners.withColumn("nearest", nearest).where("size(nearest) = 1").select("type", "label", F.col("nearest")[0].alias("uri"), "distance")
 
 
-def _learn(wanted: DataFrame, frames: dict[str, Frame], listed: pd.DataFrame) -> None:
-    """Add the familiar forms that the labels themselves show to the frame of persons; a form has one full name, so their number is that of forms in use."""
+def _learn(wanted: DataFrame, entries: DataFrame, frames: dict[str, Frame]) -> None:
+    """Add the familiar forms that the labels themselves show to the frame of persons; a form has one full name, so their number is that of forms in use.
+
+    An unknown word beside a listed person's family name may be a familiar form; beside the
+    full name it is. Labels and entries meet in a join by the family name.
+    """
     if PERSON not in frames:
         return
-    shared = wanted.sparkSession.sparkContext.broadcast((listed[listed["type"] == PERSON], {PERSON: frames[PERSON]}))
+    shared = wanted.sparkSession.sparkContext.broadcast({PERSON: frames[PERSON]})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = _matchers(*shared.value)[PERSON]
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value[PERSON]
         for pdf in batches:
-            yield pd.DataFrame([h for label in pdf["label"] for h in own.hints(label)], columns=["short", "full", "name", "weight"])
-
-    found = wanted.where(F.col("type") == PERSON).mapInPandas(run, "short string, full string, name string, weight int").groupBy("short", "full", "name").agg(F.max("weight").alias("w")).groupBy("short", "full").agg(F.sum("w").alias("w"))
+            rows = []
+            for label in pdf["label"]:
+                if (said := own.read(label)) and said.frame:
+                    unknown = [stem(w) for w in said.frame if len(w.rstrip(".")) > 2 and not w.endswith(".") and not own.is_frame(w)]
+                    rows.append((said.name, said.frame[0], frame_stem(said.frame[0]), [frame_stem(w) for w in said.frame], unknown))
+            yield pd.DataFrame(rows, columns=["name", "full", "full_stem", "stems", "unknown"])
+
+    readings = lambda df: df.where(F.col("type") == PERSON).select("label").distinct().mapInPandas(read, "name string, full string, full_stem string, stems array<string>, unknown array<string>")
+    listed = readings(entries).select("name", "full", "full_stem").distinct()
+    met = readings(wanted).where("size(unknown) > 0").select("name", "stems", "unknown").distinct().join(listed, "name")
+    whole = F.array_contains("stems", F.col("full_stem"))
+    hints = met.where(whole | (F.size("stems") == 1)).select(F.explode("unknown").alias("short"), "full", "name", F.when(whole, 2).otherwise(1).alias("weight"))
+    found = hints.groupBy("short", "full", "name").agg(F.max("weight").alias("w")).groupBy("short", "full").agg(F.sum("w").alias("w"))
     total = found.groupBy("short").agg(F.sum("w").alias("all"))
     sure = found.join(total, "short").where((F.col("w") >= 2) & (F.col("w") >= 0.6 * F.col("all")))
     for r in sure.collect():
@@ -265,23 +256,22 @@ def _learn(wanted: DataFrame, frames: dict[str, Frame], listed: pd.DataFrame) ->
 
 
 def _frames_of(entries: DataFrame, given: list[tuple[str, str]]) -> dict[str, Frame]:
-    """Frames of a list that is not broadcast, from the words each type puts before many others; bounded by the share."""
+    """Frames of a list, from the words each type puts before many others, bounded by the share, and the first words of persons, as many as given names are in use."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for kind, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = [w for w in words(label) if w not in ",("]
-                rows += [(kind, frame_stem(w), own[-1]) for w in own[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["type", "word", "last"])
+                rows += [(kind, frame_stem(w), own[-1], kind == PERSON and i == 0) for i, w in enumerate(own[:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), pa.bool_()))], ["type", "word", "last", "given"])
 
-    counted = entries.select("type", "label").mapInArrow(split, "type string, word string, last string").groupBy("type", "word").agg(F.count_distinct("last").alias("n"))
+    counted = entries.select("type", "label").mapInArrow(split, "type string, word string, last string, given boolean").groupBy("type", "word").agg(F.count_distinct("last").alias("n"), F.max("given").alias("given"))
     total = entries.groupBy("type").agg(F.count("*").alias("of"))
-    common = counted.join(total, "type").where(F.col("n") >= F.greatest(F.lit(2), F.lit(FRAME_SHARE) * F.col("of"))).collect()
-    out = {r["type"]: Frame(r["type"], [], given) for r in entries.select("type").distinct().collect()}
-    for r in common:
-        out[r["type"]].common.add(r["word"])
-    return out
+    common: dict[str, list[str]] = defaultdict(list)
+    for r in counted.join(total, "type").where((F.col("n") >= F.greatest(F.lit(2), F.lit(FRAME_SHARE) * F.col("of"))) | F.col("given")).select("type", "word").collect():
+        common[r["type"]].append(r["word"])
+    return {r["type"]: Frame(r["type"], common[r["type"]], given) for r in total.select("type").collect()}
 
 
 #: An entity id in any of the ways it is written: the list's own form, another host path, a prefix, bare, other case, with a fragment or slash after it.

@@ -64,6 +64,17 @@ def test_canonical_links(spark, bound):
     assert {r["ref_uri"] for r in gazetteer.canonical_links(rows, entries.limit(0), forms).collect()} == {""}
 
 
+def test_searches_give_the_same(spark):
+    """A list in shards reads labels as a broadcast one does: first words of persons are given names, and familiar forms are learnt."""
+    more = [("A. Blić", "PER", None, "http://u/Q20"), ("Blić", "PER", None, "http://u/Q20"), ("Aleksandre Blića", "PER", None, "http://u/Q20"), ("M. Blić", "PER", None, ""), *[c for c in CASES if "Mikica" in str(c[0])], *CASES]
+    rows = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(more)], "ordinal bigint, label string, type string, wikidata_uri string")
+    entries = spark.createDataFrame([*ENTRIES, ("Aleksandra Blić", "PER", "http://u/Q20")], "label string, type string, wikidata_uri string")
+    forms = spark.createDataFrame([("Darinka", "Dara"), ("Milan", "Mića")], "given_name string, short_form string")
+    for bound in (1000, 5, 1):
+        got = {r["ordinal"]: r["ref_uri"] for r in gazetteer.canonical_links(rows, entries, forms, broadcast_entries=bound).collect()}
+        assert got == {i: c[3] for i, c in enumerate(more)}, bound
+
+
 PEOPLE = {
     "darinka": ["Darinka Stolburić", "Darinke Stolburić", "Dara Stolburić", "D. Stolburić", "Stolburić, Darinka", "gđica Darinka Stolburić", "Даринка Столбурић", "Darinka Stobluric", "DARINKA  STOLBURIĆ.", "Dаrinka Stolburić", "D. Stobluric"],
     "milan": ["Milan Stolburić", "Milana Stolburića", "M Stolburić"],
