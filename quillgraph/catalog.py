@@ -204,8 +204,14 @@ def gazetteer_mentions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole cleaning of mentions; offsets may be null, which sorts first."""
-    return mentions.cleaned(read_table(spark, folder, "ner_entities").where("start is not null and end is not null"), CONFIG.aliases).select("ordinal", "letter_id", "text", "label", "start", "end", "model")
+    """The whole cleaning of mentions that have offsets and a letter."""
+    return mentions.cleaned(read_table(spark, folder, "ner_entities").where("letter_id is not null and start is not null and end is not null"), CONFIG.aliases).select("ordinal", "letter_id", "text", "label", "start", "end", "model")
+
+
+@query
+def clean_mentions_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole cleaning of all mentions, those without offsets or a letter too."""
+    return mentions.cleaned(read_table(spark, folder, "ner_entities"), CONFIG.aliases).select("ordinal", "letter_id", "text", "label", "start", "end", "model")
 
 
 @query

@@ -137,8 +137,14 @@ def first_of_each(rows: DataFrame, key: list[str], order: str = "ordinal") -> Da
 
 
 def cleaned(mentions: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
-    """Mentions as they go into the graph: merged, without contained dates, cleaned, dropped, aliased, split, each once."""
-    rows = without_contained_dates(merged_pieces(mentions)).withColumn("text", surface("text"))
+    """Mentions as they go into the graph: merged, without contained dates, cleaned, dropped, aliased, split, each once.
+
+    Mentions with a null letter or offset have no place in a letter: they are neither merged
+    nor contained, and go through all else. Nulls are the same in what comes out once.
+    """
+    placed = F.col("letter_id").isNotNull() & F.col("start").isNotNull() & F.col("end").isNotNull()
+    merged = without_contained_dates(merged_pieces(mentions.where(placed)))
+    rows = merged.unionByName(mentions.where(~placed).select(*merged.columns)).withColumn("text", surface("text"))
     rows = rows.where(keeps(F.col("text"), F.col("label"))).withColumn("text", aliased("text", aliases or {}))
     return first_of_each(split_merged(rows, aliases), KEY)
 

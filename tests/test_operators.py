@@ -34,6 +34,15 @@ def test_contained_dates(spark):
     assert [r[0] for r in rows(mentions.without_contained_dates(df).select("ordinal"), "ordinal")] == [1, 3, 4, 5]
 
 
+def test_cleaned_keeps_mentions_without_a_place(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "Zden", "PER", 0, 4, 0.9, "m"), ("a", 2, "##ka", "PER", 4, 6, 0.7, "m"), ("a", 3, "Niš", "LOC", None, None, 0.9, "m"), ("a", 4, "Niš", "LOC", None, None, 0.8, "m"), ("a", 5, "Niš", "LOC", 9, None, 0.9, "m"), (None, 6, "Niš", "LOC", 0, 3, 0.9, "m"), (None, 7, "1927", "DATE", 10, 14, 1.0, "m"), (None, 8, "20 aprila 1927", "DATE", 0, 14, 1.0, "m"), ("a", 9, "Arles — Nimes", "LOC", None, None, 0.5, "m"), ("a", 10, "Xy", "LOC", None, None, 0.5, "m")],
+        M,
+    )
+    got = rows(mentions.cleaned(df).select("ordinal", "letter_id", "text", "start", "end"), "ordinal", "text")
+    assert got == [(1, "a", "Zdenka", 0, 6), (3, "a", "Niš", None, None), (5, "a", "Niš", 9, None), (6, None, "Niš", 0, 3), (7, None, "1927", 10, 14), (8, None, "20 aprila 1927", 0, 14), (9, "a", "Arles", None, None), (9, "a", "Nimes", None, None)]
+
+
 def test_split_merged(spark):
     df = spark.createDataFrame([("a", 1, "Arles — Nimes", "LOC", 456, 469, 0.5, "m"), ("a", 2, "ArlesNimes", "LOC", 10, 20, 0.5, "m"), ("a", 3, "A - B", "PER", 0, 5, 0.5, "m")], M)
     got = rows(mentions.split_merged(df, {"Nimes": "Nîmes"}).select("ordinal", "text", "start", "end"), "ordinal", "start")
