@@ -36,6 +36,8 @@ FAMILIAR_SHARE = 0.3
 KIND_SHARE = 0.002
 #: A profile that may be a slip of another has fewer mentions, at most this part of its or FEW.
 SLIP_PART, FEW = 0.4, 3
+#: Letters from which a family name is matched with a slip without a full given name.
+SHORT_FAMILY = 6
 MOST_ROUNDS = 20
 
 # Endings of family names, folded and without case endings.
@@ -248,9 +250,9 @@ def _slip(a: Column, b: Column) -> Column:
 
 
 def _shortened(family: Column) -> Column:
-    """A family name and the same with each letter left out in turn; of short names only itself."""
+    """A family name and the same with each letter left out in turn."""
     left_out = F.transform(F.sequence(F.lit(1), F.length(family)), lambda i: F.concat(F.substring(family, F.lit(1), i - 1), F.substring(family, i + 1, F.length(family))))
-    return F.array_distinct(F.when(F.length(family) < 6, F.array(family)).otherwise(F.concat(F.array(family), left_out)))
+    return F.array_distinct(F.concat(F.array(family), left_out))
 
 
 def resolve(read: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
@@ -293,7 +295,10 @@ def _round(state: DataFrame) -> DataFrame:
     same = (F.col("family") == F.col("to_family")) & F.col("full").isNull()
     # a slip has far fewer mentions than what it is a slip of, unless no profile has its family name
     fewer = ((F.col("n") < F.col("m")) & (F.col("n") <= F.greatest(F.lit(FEW), SLIP_PART * F.col("m")))) | (F.col("full").isNull() & F.col("k").isNull())
-    slip = (F.col("family") != F.col("to_family")) & (F.coalesce("k", F.lit(0)) <= 1) & fewer & _slip(F.col("family"), F.col("to_family"))
+    # relatives may share a misspelled family name: a full name is judged by itself, and it fits what has the same given name. Two short names are often one slip apart, so they need it
+    given = F.col("full").isNotNull()
+    short = F.greatest(F.length("family"), F.length("to_family")) < SHORT_FAMILY
+    slip = (F.col("family") != F.col("to_family")) & (given | ((F.coalesce("k", F.lit(0)) <= 1) & ~short)) & fewer & _slip(F.col("family"), F.col("to_family"))
     pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare)
     chosen = pairs.groupBy("entity").agg(F.collect_set(F.when(F.col("same"), F.col("to"))).alias("equal"), F.collect_set(F.when(~F.col("same"), F.col("to"))).alias("slips"))
     chosen = chosen.withColumn("may", F.when(F.size("equal") > 0, F.col("equal")).otherwise(F.col("slips")))

@@ -112,6 +112,15 @@ def test_entities(spark):
     assert pairs == {(a, b) for a in got for b in got if a < b and got[a] == got[b]}
 
 
+def test_slips_of_relatives_and_short_names(spark):
+    often = ["Darinka Stolburić", "Milan Stolburić", "Olga Dumić", "Milan Vremolić", "Olga Vremolić", "Darinka Krumolić"]
+    once = ["Darinka Stobluric", "Milan Stobluric", "Olga Dmuić", "Milan Dmuić"]
+    said = spark.createDataFrame([("PER", n) for n in often for _ in range(20)] + [("PER", n) for n in once], "label string, text string")
+    got = {r["name"]: r["entity"] for r in names.entities(said, spark.createDataFrame([], "recipient string"), spark.createDataFrame([], "given_name string, short_form string")).collect()}
+    assert [got[n] for n in once[:3]] == [got[n] for n in often[:3]]
+    assert len({got[n] for n in often} | {got["Milan Dmuić"]}) == len(often) + 1
+
+
 def test_entities_of_nothing(spark):
     none = spark.createDataFrame([], "label string, text string")
     assert names.entities(none, spark.createDataFrame([], "recipient string"), spark.createDataFrame([], "given_name string, short_form string")).count() == 0
