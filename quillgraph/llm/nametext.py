@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import regex
 
 from quillgraph.llm.skeleton import LOOK_ALIKES, skeleton
@@ -94,39 +95,104 @@ def one_slip(a: str, b: str) -> bool:
     return a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
 
 
+#: What the distance of far strings is taken for; a metric cut off at a bound is a metric too.
+FAR = 64
+
+
+def _laid(keys: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(letters of each key by number, lengths); letters that are new get a number."""
+    sizes = np.array([len(k) for k in keys], np.int64)
+    out = np.zeros((len(keys), int(sizes.max(initial=0))), np.int32)
+    for row, key in zip(out, keys):
+        row[: len(key)] = [alphabet.setdefault(c, len(alphabet) + 1) for c in key]
+    return out, sizes
+
+
+def edit_distances(a: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_size: np.ndarray, letters: int) -> np.ndarray:
+    """Unrestricted Damerau-Levenshtein distance of each pair of rows, all pairs side by side; FAR if it is FAR or more."""
+    out = np.full(len(a), FAR, np.int64)
+    near = np.flatnonzero(np.abs(a_size - b_size) < FAR)
+    order = near[np.argsort(np.maximum(a_size[near], b_size[near]), kind="stable")]
+    at = 0
+    while at < len(order):
+        # as many pairs as fit into a table of bounded size
+        step = max(1, 20_000_000 // ((int(max(a_size[order[at:]].max(), b_size[order[at:]].max())) + 2) ** 2 * 2))
+        own = order[at : at + step]
+        at += step
+        x, y, n, m = a[own], b[own], a_size[own], b_size[own]
+        p, every = len(own), np.arange(len(own))
+        rows, columns = int(n.max(initial=0)), int(m.max(initial=0))
+        d = np.full((rows + 2, columns + 2, p), 30_000, np.int16)
+        d[1:, 1] = np.arange(rows + 1, dtype=np.int16)[:, None]
+        d[1, 1:] = np.arange(columns + 1, dtype=np.int16)[:, None]
+        # the last row in which each letter stood
+        row_of = np.zeros((letters + 1, p), np.int32)
+        for i in range(1, rows + 1):
+            last = np.zeros(p, np.int32)
+            for j in range(1, columns + 1):
+                same = x[:, i - 1] == y[:, j - 1]
+                k = row_of[y[:, j - 1], every]
+                swapped = d[k, last, every] + (i + j - 1 - k - last).astype(np.int16)
+                d[i + 1, j + 1] = np.minimum(np.minimum(d[i, j] + ~same, np.minimum(d[i + 1, j], d[i, j + 1]) + np.int16(1)), swapped)
+                last[same] = j
+            row_of[x[:, i - 1], every] = i
+        out[own] = np.minimum(d[n + 1, m + 1, every], FAR)
+    return out
+
+
 class BkTree:
-    """Entries under Levenshtein distance; a search leaves out subtrees by the triangle inequality and returns every entry within the threshold."""
+    """Strings under Damerau-Levenshtein distance; a search leaves out subtrees by the triangle inequality and returns every entry within the radius.
+
+    Built and searched level by level, all pairs of a level in one table. A string of more
+    than LONGEST letters is near nothing but itself.
+    """
 
-    FAR = 64
+    LONGEST = 256
 
     def __init__(self, keys: list[str]):
-        self.key: list[str] = []
-        self.under: list[dict[int, int]] = []
-        for k in dict.fromkeys(keys):
-            self._add(k)
-
-    def _add(self, key: str) -> None:
-        at = 0
-        if self.key:
-            while True:
-                d = distance(key, self.key[at], self.FAR)
-                if d == 0:
-                    return
-                if d not in self.under[at]:
-                    self.under[at][d] = len(self.key)
-                    break
-                at = self.under[at][d]
-        self.key.append(key)
-        self.under.append({})
-
-    def within(self, key: str, most: int) -> list[tuple[int, str]]:
-        out, todo = [], [0] if self.key else []
-        while todo:
-            at = todo.pop()
-            d = distance(key, self.key[at], self.FAR)
-            if d <= most:
-                out.append((d, self.key[at]))
-            for far, below in self.under[at].items():
-                if d - most <= far <= d + most:
-                    todo.append(below)
-        return sorted(out)
+        own = list(dict.fromkeys(keys))
+        self.long = {k for k in own if len(k) > self.LONGEST}
+        self.key = [k for k in own if k not in self.long]
+        self.alphabet: dict[str, int] = {}
+        self.codes, self.sizes = _laid(self.key, self.alphabet)
+        n = len(self.key)
+        # every key hangs below a node until it is one itself
+        edge, parent = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+        left = np.arange(1, n)
+        under = np.zeros(len(left), np.int64)
+        while len(left):
+            d = self._between(under, left)
+            order = np.lexsort((left, d, under))
+            left, under, d = left[order], under[order], d[order]
+            first = np.concatenate([[True], (under[1:] != under[:-1]) | (d[1:] != d[:-1])])
+            made = left[first]
+            parent[made], edge[made] = under[first], d[first]
+            under = made[np.cumsum(first) - 1]
+            left, under = left[~first], under[~first]
+        # children of a node side by side
+        self.child = np.argsort(parent, kind="stable")[1 if n else 0 :]
+        self.edge = edge[self.child]
+        self.start = np.searchsorted(parent[self.child], np.arange(n + 1))
+
+    def _between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return edit_distances(self.codes[a], self.sizes[a], self.codes[b], self.sizes[b], len(self.alphabet))
+
+    def within(self, keys: list[str], most: int) -> list[list[tuple[int, str]]]:
+        """For each key every entry within ``most`` edits, as (distance, entry), nearest first."""
+        out: list[list[tuple[int, str]]] = [[(0, k)] if k in self.long else [] for k in keys]
+        longest = int(self.sizes.max(initial=0))
+        asked = [i for i, k in enumerate(keys) if self.key and len(k) <= longest + most]
+        codes, sizes = _laid([keys[i] for i in asked], self.alphabet)
+        at, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)
+        while len(at):
+            d = edit_distances(codes[at], sizes[at], self.codes[node], self.sizes[node], len(self.alphabet))
+            for i in np.flatnonzero(d <= most):
+                out[asked[at[i]]].append((int(d[i]), self.key[node[i]]))
+            n = self.start[node + 1] - self.start[node]
+            again = np.repeat(np.arange(len(at)), n)
+            place = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.start[node], n)
+            # a distance that was cut off may be any greater one
+            far = d[again]
+            kept = (np.abs(self.edge[place] - far) <= most) | ((far >= FAR) & (self.edge[place] >= FAR - most))
+            at, node = at[again[kept]], self.child[place[kept]]
+        return [sorted(x) for x in out]

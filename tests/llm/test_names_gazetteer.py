@@ -24,10 +24,33 @@ def test_distance(a, b, most):
     assert distance(a, b, most) == min(table(a, b), most + 1)
 
 
+def damerau(a, b):
+    """Unrestricted distance with transpositions, from its definition."""
+    most = len(a) + len(b)
+    d = {(i, j): most for i in range(-1, len(a) + 1) for j in range(-1, len(b) + 1)}
+    d |= {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            swaps = [d[k - 1, m - 1] + i - k - 1 + 1 + j - m - 1 for k in range(1, i) for m in range(1, j) if a[k - 1] == b[j - 1] and a[i - 1] == b[m - 1]]
+            d[i, j] = min([d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]), *swaps])
+    return d[len(a), len(b)]
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text("abc", min_size=1, max_size=7), max_size=40), st.text("abc", min_size=1, max_size=7), st.integers(0, 3))
-def test_tree_finds_every_entry(keys, key, most):
-    assert set(BkTree(keys).within(key, most)) == {(table(k, key), k) for k in keys if table(k, key) <= most}
+@given(st.lists(st.text("abc", min_size=1, max_size=7), max_size=40), st.lists(st.text("abcd", max_size=7), max_size=6), st.integers(0, 3))
+def test_tree_finds_every_entry(keys, asked, most):
+    assert [set(x) for x in BkTree(keys).within(asked, most)] == [{(damerau(k, key), k) for k in keys if damerau(k, key) <= most} for key in asked]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc", max_size=6), st.text("abc", max_size=6), st.text("abc", max_size=6))
+def test_distance_with_swaps_is_a_metric(a, b, c):
+    assert damerau(a, c) <= damerau(a, b) + damerau(b, c) and damerau("ca", "abc") == 2
+
+
+def test_tree_of_long_strings():
+    long = ["x" * 100_000, "y" * 300, "abc"]
+    assert BkTree(long).within(["x" * 100_000, "abd", "y" * 301], 1) == [[(0, "x" * 100_000)], [(1, "abc")], []]
 
 
 def test_slips():
@@ -54,24 +77,21 @@ def test_canonical_links(spark, bound):
     rows = spark.createDataFrame([(i, label, kind, uri, "x") for i, (label, kind, uri, _) in enumerate(CASES)] + [(900, "Novi Glimsen", "LOC", "http://u/Q1", "x"), (901, "1. 1. 1925", "DATE", None, "x")] + [(0, *CASES[0][:3], "x")], "ordinal bigint, label string, type string, wikidata_uri string, uri string")
     entries = spark.createDataFrame(ENTRIES, "label string, type string, wikidata_uri string")
     forms = spark.createDataFrame([("Darinka", "Dara"), ("Milan", "Mića")], "given_name string, short_form string")
-    got = gazetteer.canonical_links(rows, entries, forms, broadcast_entries=bound).collect()
+    got = gazetteer.canonical_links(rows, entries, forms, shard_entries=bound, part_labels=max(bound, 15)).collect()
     assert len(got) == len(CASES)
-    # forms the list of forms lacks are learnt where the list is broadcast
-    asked = [i for i, c in enumerate(CASES) if bound > 5 or "Mikica" not in str(c[0])]
-    found = {r["ordinal"]: r["ref_uri"] for r in got}
-    assert {i: found[i] for i in asked} == {i: CASES[i][3] for i in asked}
+    assert {r["ordinal"]: r["ref_uri"] for r in got} == {i: c[3] for i, c in enumerate(CASES)}
     assert gazetteer.canonical_links(rows.limit(0), entries, forms).count() == 0
     assert {r["ref_uri"] for r in gazetteer.canonical_links(rows, entries.limit(0), forms).collect()} == {""}
 
 
 def test_searches_give_the_same(spark):
-    """A list in shards reads labels as a broadcast one does: first words of persons are given names, and familiar forms are learnt."""
+    """A list in many shards is read as one in one shard is: first words of persons are given names, and familiar forms are learnt."""
     more = [("A. Blić", "PER", None, "http://u/Q20"), ("Blić", "PER", None, "http://u/Q20"), ("Aleksandre Blića", "PER", None, "http://u/Q20"), ("M. Blić", "PER", None, ""), *[c for c in CASES if "Mikica" in str(c[0])], *CASES]
     rows = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(more)], "ordinal bigint, label string, type string, wikidata_uri string")
     entries = spark.createDataFrame([*ENTRIES, ("Aleksandra Blić", "PER", "http://u/Q20")], "label string, type string, wikidata_uri string")
     forms = spark.createDataFrame([("Darinka", "Dara"), ("Milan", "Mića")], "given_name string, short_form string")
-    for bound in (1000, 5, 1):
-        got = {r["ordinal"]: r["ref_uri"] for r in gazetteer.canonical_links(rows, entries, forms, broadcast_entries=bound).collect()}
+    for bound in (1000, 5, 3):
+        got = {r["ordinal"]: r["ref_uri"] for r in gazetteer.canonical_links(rows, entries, forms, shard_entries=bound, part_labels=max(bound, 15)).collect()}
         assert got == {i: c[3] for i, c in enumerate(more)}, bound
 
 
