@@ -110,9 +110,14 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, read_table(spark, folder, "container_sizes"))
 
 
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers of each kind against the least number by volume."""
+    return packing.fill(p8_containers(spark, folder), read_table(spark, folder, "container_sizes"))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with template residue, filler, error pages or notices."""
     return residue.residue(read_table(spark, folder, "documents")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p4_table_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p6_records, p7_ids, p8_containers, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_entities, p2_found, p2_passages, p3_found, p4_found, p4_forms, p4_table_forms, p5_found, p5_repaired, p6_found, p6_collapsed, p6_records, p7_ids, p8_containers, p8_fill, p9_found)}

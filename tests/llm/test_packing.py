@@ -2,6 +2,7 @@ import random
 from itertools import product
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -54,3 +55,26 @@ def test_pack(spark):
         assert (own[own.doc_id.isin(small)].groupby("doc_id").size() == 1).all()
         assert own[own.doc_id.isin([9000, 9001])].container_id.isna().all() and (own.doc_id == 9003).sum() == 2
     assert packing.pack(items.limit(0), kinds).count() == 0 and packing.pack(items, kinds.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("least,most,capacity", [(1, 1024, 1024), (60, 900, 1024), (1, 900, 8192), (1, 1, 8192)])
+def test_within_a_hundredth_of_the_bound(least, most, capacity):
+    chance = np.random.default_rng(4)
+    sizes = np.sort(chance.integers(least, most + 1, 3000))[::-1]
+    got = packing.pack_shard(sizes, capacity)
+    assert np.bincount(got, weights=sizes).max() <= capacity
+    assert got.max() + 1 <= np.ceil(1.01 * packing.fewest(sizes, capacity)) + 1
+
+
+def test_layout_has_no_influence(spark):
+    rows = [(i, 1 + i * 7919 % 500) for i in range(2000)] + [(5, 36)] * 40
+    kinds = spark.createDataFrame([("s", 512)], "container_kind string, capacity_tokens int")
+    one = spark.createDataFrame(rows, "doc_id bigint, n_tokens int").coalesce(1)
+    key = lambda df: sorted(map(tuple, packing.pack(df, kinds, windows=30).collect()))
+    assert key(one) == key(spark.createDataFrame(rows[::-1], one.schema).repartition(7))
+
+
+def test_fill(spark):
+    items = spark.createDataFrame([(1, 60), (2, 60), (3, 40), (4, 0)], "doc_id bigint, n_tokens int")
+    kinds = spark.createDataFrame([("s", 100), ("none", 0)], "container_kind string, capacity_tokens int")
+    assert [tuple(r) for r in packing.fill(packing.pack(items, kinds), kinds).collect()] == [("s", 100, 2, 160, 2, 0.2)]
