@@ -2,12 +2,16 @@
 
 Every distinct name is read as a family name (of an organisation: its proper name) and
 what stands beside it: given names in full, familiar forms, abbreviations, initials (of an
-organisation: the words of its kind). Names that read alike are one record. Records with
+organisation: the words of its kind). What is a given name, a family name's ending, a
+familiar form or a slip of a given name is told by the corpus' own counts; these tables
+meet the words in joins. Names that read alike are one record. Records with
 a full given name are profiles; a profile has the spellings and initials of all records
 merged into it. In each round every other record, and every profile that may be a slip of
 another, is matched to the profiles of its block: the same family name and initial, or
 a family name with one letter left out. A record that fits exactly one profile is
-merged into it; the richer profiles enter the next round, until a round merges nothing.
+merged into it. Where a family name has no profile, its abbreviated records are merged
+into the one that says most if all of them may be it. The richer profiles enter the next
+round, until a round merges nothing.
 
 All steps are joins on block keys; no block is gathered in one task, and records are
 distinct readings, so a name with any number of mentions is one row. The joins are hinted
@@ -19,17 +23,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.llm.gazetteer import TITLES, frame_stem, stem
-from quillgraph.llm.nametext import fold, latin, one_slip, words, written
+from quillgraph.llm.gazetteer import TITLES, frame_stem, known_forms, stem
+from quillgraph.llm.nametext import latin, words, written
 from quillgraph.session import checkpointed
 
 #: A word beside family names is a given name if it stands beside this many different ones, and beside this share of them at least; bounds the list to 1 / share words.
 GIVEN_PARTNERS, GIVEN_SHARE = 3, 2e-4
+#: The last letters of a family name stand at the end of names this many times as often as at their beginning, and in this share of names at least; bounds the list to 1 / share endings.
+TAIL_RATIO, TAIL_SHARE, TAIL = 2, 1e-3, 2
 #: A word is a familiar form of a given name if beside this share of its family names that name stands too.
 FAMILIAR_SHARE = 0.3
 #: A word is of the kind of an organisation if it stands before as many different last words as this share of names, and three at least.
@@ -38,10 +44,6 @@ KIND_SHARE = 0.002
 SLIP_PART, FEW = 0.4, 3
 #: Letters from which a family name is matched with a slip without a full given name.
 SHORT_FAMILY = 6
-MOST_ROUNDS = 20
-
-# Endings of family names, folded and without case endings.
-_FAMILY = regex.compile(r"(?:ic|sk|ck|enk|yan|ov|ev|in)$")
 
 
 def is_short(word: str) -> bool:
@@ -64,177 +66,177 @@ def _addressed(name: str) -> list[str]:
     return [w for w in said if (w.rstrip(".") not in TITLES or (w.rstrip(".") == "g" and capital)) and not w[0].isdigit()]
 
 
-class Vocabulary:
-    """Given names and words of kind, by stem, and what familiar forms stand for."""
-
-    def __init__(self, given: set[str], kinds: set[str], forms: list[tuple[str, str]], learned: list[tuple[str, str]] | None = None):
-        # a learnt form may be an abbreviation as well
-        self.listed: dict[str, list[str]] = {}
-        for _, short in forms:
-            self.listed.setdefault(stem(fold(short)), []).append(short)
-        forms = [*forms, *(learned or [])]
-        self.given = given | {stem(fold(a)) for a, _ in forms}
-        self.kinds = kinds
-        self.familiar: dict[str, list[tuple[str, str]]] = {}
-        for full, short in forms:
-            self.familiar.setdefault(stem(fold(short)), []).append((short.lower(), stem(fold(full))))
-        self.slips: dict[str, str | None] = {}
-
-    def full_name(self, s: str) -> str | None:
-        """The given name that a stem is, or is one slip from."""
-        if s in self.given:
-            return s
-        if s in self.familiar or len(s) < 5:
-            return None
-        if s not in self.slips:
-            near = [g for g in self.given if len(g) > 3 and abs(len(g) - len(s)) < 2 and one_slip(s, g)]
-            self.slips[s] = near[0] if len(near) == 1 else None
-        return self.slips[s]
-
-
-def read_person(name: str, v: Vocabulary) -> tuple[str | None, list[list[str]], str | None]:
+_OWN = "array<struct<at:int,word:string,stem:string,frame:string,said:string,short:boolean>>"
+
+
+def _words(names: DataFrame) -> DataFrame:
+    """(kind, name, n, own): the words of each name in order, without titles (of an organisation, all words)."""
+    item = pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string()), ("stem", pa.string()), ("frame", pa.string()), ("said", pa.string()), ("short", pa.bool_())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for kind, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                person = kind == "PER"
+                own = _addressed(name) if person else [w for w in words(name) if w not in ",(" and not w[0].isdigit()]
+                said = written(name) if person else {}
+                out.append([{"at": k, "word": w, "stem": stem(w), "frame": frame_stem(w), "said": said.get(w.rstrip(".")), "short": is_short(w)} for k, w in enumerate(own)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, item)], ["kind", "name", "n", "own"])
+
+    # a table of names is small for its work, so it is spread before Python
+    spread = names.select("kind", "name", "n").repartition(2 * names.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(run, f"kind string, name string, n bigint, own {_OWN}")
+
+
+def read_person(plain: list[dict]) -> tuple[str | None, list[list[str]], str | None]:
     """(family name, alternatives of each word beside it, full given name); an exact word ends in $, an abbreviation doesn't."""
-    plain = _addressed(name)
     if not plain:
         return None, [], None
-    as_written = written(name)
 
     def family(i: int) -> float:
         w = plain[i]
-        s = stem(w)
-        if is_short(w) or len(s) < 3:
+        if w["short"] or len(w["stem"]) < 3:
             return -5
-        score = 2.0 * bool(_FAMILY.search(s)) + 0.1 * min(len(s), 20) / 20 + 0.2 * (i == len(plain) - 1)
-        if s in v.given or s in v.familiar:
-            score -= 3
-        return score
+        score = 2.0 * w["tail"] + 0.1 * min(len(w["stem"]), 20) / 20 + 0.2 * (i == len(plain) - 1)
+        return score - 3 if w["given"] or w["fulls"] else score
 
     at = max(range(len(plain)), key=family)
     if family(at) <= -2:
         return None, [], None
     beside: list[list[str]] = []
     full = None
-    for i, w in enumerate(plain):
+    for i, x in enumerate(plain):
         if i == at:
             continue
-        said = as_written.get(w.rstrip("."))
-        if is_short(w):
+        w, s, said = x["word"], x["stem"], x["said"]
+        if x["short"]:
             beside.append(_beginning(w, said))
             continue
-        s = stem(w)
-        own = v.full_name(s)
+        own = s if x["given"] else x["slip"]
         if own:
             full = full or own
             beside.append([own + "$", f"{own[0]}^{said[0]}"] if said else [own + "$"])
-        elif s in v.familiar:
+        elif x["fulls"]:
             # Mica and Mića are forms of different names; without accents either
-            meant = [f for short, f in v.familiar[s] if not said or stem(said) == stem(short)] or [f for _, f in v.familiar[s]]
+            meant = [f["full"] for f in x["fulls"] if not said or not f["said"] or stem(said) == stem(f["said"])] or [f["full"] for f in x["fulls"]]
             # a learnt form, or one without the listed form's ending, may as well be an abbreviation
-            cut = len(w) < 6 and all(len(w) < len(short) for short in v.listed.get(s, ()))
-            beside.append([s + "$", *(f + "$" for f in dict.fromkeys(meant)), *([w.rstrip(".")] if cut else [])])
+            cut = len(w) < 6 and all(len(w) < len(short) for short in x["listed"])
+            beside.append([s + "$", *(f + "$" for f in dict.fromkeys(sorted(meant))), *([w.rstrip(".")] if cut else [])])
         else:
             beside.append([s + "$", w.rstrip(".")] if len(w) < 6 else [s + "$"])
-    return stem(plain[at]), beside, full
+    return plain[at]["stem"], beside, full
 
 
-def read_organisation(name: str, v: Vocabulary) -> tuple[str | None, list[list[str]], str | None]:
+def read_organisation(plain: list[dict]) -> tuple[str | None, list[list[str]], str | None]:
     """Like ``read_person``, of the proper name and the words of kind; all words of kind in full make it full."""
-    plain = [w for w in words(name) if w not in ",(" and not w[0].isdigit()]
-    proper = [w for w in plain if not is_short(w) and len(w) > 3 and frame_stem(w) not in v.kinds]
+    proper = [w for w in plain if not w["short"] and len(w["word"]) > 3 and not w["kind"]]
     if not proper:
         return None, [], None
-    own = max(proper, key=len)
+    own = max(proper, key=lambda w: len(w["word"]))
     beside, exact = [], []
     for w in plain:
         if w is own:
             continue
-        s = frame_stem(w)
-        if s in v.kinds:
-            beside.append([s + "$"])
-            exact.append(s)
+        if w["kind"]:
+            beside.append([w["frame"] + "$"])
+            exact.append(w["frame"])
         else:
-            beside.append(_beginning(w))
+            beside.append(_beginning(w["word"]))
     full = " ".join(sorted(set(exact))) if len(set(exact)) > 1 and len(exact) == len(beside) else None
-    return stem(own), beside, full
+    return own["stem"], beside, full
 
 
-def _first_reading(names: DataFrame) -> DataFrame:
-    """(kind, word, partner): words beside each other in distinct names, for the vocabulary."""
+def _tails(said: DataFrame) -> list[str]:
+    """Endings that family names have and given names have not: what stands at the end of names far more often than at their beginning."""
+    full = said.where("kind = 'PER'").select(F.filter("own", lambda w: ~w["short"]).alias("own")).where("size(own) > 1")
+    ends = full.select(F.explode(F.array(F.struct(F.get("own", F.lit(0))["stem"].alias("s"), F.lit(0).alias("last")), F.struct(F.get("own", F.size("own") - 1)["stem"].alias("s"), F.lit(1).alias("last")))).alias("e"))
+    counted = ends.groupBy(F.expr(f"right(e.s, {TAIL})").alias("tail")).agg(F.sum("e.last").alias("last"), F.sum(1 - F.col("e.last")).alias("first"))
+    total = full.count()
+    return sorted(r["tail"] for r in counted.where((F.col("last") >= TAIL_RATIO * F.col("first")) & (F.col("last") >= max(2, TAIL_SHARE * total))).collect())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for kind, name in zip(pdf["kind"], pdf["name"]):
-                plain = [w for w in words(name) if w not in ",(" and w.rstrip(".") not in TITLES and not w[0].isdigit() and not is_short(w)]
-                if kind == "PER":
-                    stems = [stem(w) for w in plain]
-                    families = [s for s in stems if _FAMILY.search(s)]
-                    rows += [(kind, s, families[-1]) for s in stems if families and s != families[-1]]
-                else:
-                    # a word of the kind stands before many proper names, a proper name before few words
-                    rows += [(kind, frame_stem(w), plain[-1]) for w in plain[:-1]]
-            yield pd.DataFrame(rows, columns=["kind", "word", "partner"])
 
-    return names.mapInPandas(run, "kind string, word string, partner string")
+def _beside(said: DataFrame, tails: list[str]) -> DataFrame:
+    """(kind, word, partner): words beside each other in distinct names: a person's words and the family name, an organisation's words and the last."""
+    full = said.select("kind", F.filter("own", lambda w: ~w["short"]).alias("own"))
+    families = F.filter("own", lambda w: F.substring(w["stem"], -TAIL, TAIL).isin(tails))
+    persons = full.where("kind = 'PER'").withColumn("partner", F.get(families, F.size(families) - 1)["stem"]).where("partner is not null")
+    persons = persons.select("kind", F.explode(F.transform("own", lambda w: w["stem"])).alias("word"), "partner").where("word <> partner")
+    last = F.get("own", F.size("own") - 1)["word"]
+    # a word of the kind stands before many proper names, a proper name before few words
+    others = full.where("kind <> 'PER' and size(own) > 1").select("kind", F.explode(F.transform(F.slice("own", 1, F.size("own") - 1), lambda w: w["frame"])).alias("word"), last.alias("partner"))
+    return persons.unionByName(others)
 
 
-def vocabulary(names: DataFrame, forms: DataFrame) -> Vocabulary:
-    """From (kind, name) rows over the whole corpus; both lists are bounded by the shares above."""
-    first = checkpointed(_first_reading(names))
-    beside = first.groupBy("kind", "word").agg(F.count_distinct("partner").alias("n"))
-    totals = {r["kind"]: r["n"] for r in names.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-    least = F.when(F.col("kind") == "PER", max(GIVEN_PARTNERS, GIVEN_SHARE * totals.get("PER", 0))).otherwise(max(3, KIND_SHARE * totals.get("ORG", 0)))
-    kept = beside.where(F.col("n") >= least).collect()
-    given = {r["word"]: r["n"] for r in kept if r["kind"] == "PER" and len(r["word"]) > 2}
-    pairs = [(r["given_name"], r["short_form"]) for r in forms.select("given_name", "short_form").dropna().distinct().collect()]
-    shorts = {stem(fold(b)) for _, b in pairs}
-    learned = _familiar(first.where("kind = 'PER'"), {w: n for w, n in given.items() if w not in shorts}, names.sparkSession)
-    shorts |= {b for _, b in learned}
-    return Vocabulary(set(given) - shorts, {r["word"] for r in kept if r["kind"] == "ORG"}, pairs, learned)
-
-
-def _familiar(beside: DataFrame, given: dict[str, int], spark: SparkSession) -> list[tuple[str, str]]:
-    """(full, familiar) forms that the list of forms lacks: a word that stands beside family names beside which one other, more usual name stands too, three times as often as any third."""
-    if not given:
-        return []
-    # two lists of given names, bounded as above, so what is joined on a family name is a bounded number of words
-    listed = F.broadcast(spark.createDataFrame(list(given.items()), "word string, families bigint"))
-    pairs = beside.select("word", "partner").distinct()
+def _familiar(beside: DataFrame, given: DataFrame) -> DataFrame:
+    """(short, full): familiar forms that the list of forms lacks: a word that stands beside family names beside which one other, more usual name stands too, three times as often as any third."""
+    pairs = beside.where("kind = 'PER'").select("word", "partner").distinct()
     short = pairs.groupBy("word").agg(F.count("*").alias("k")).where(F.col("k") >= 2)
-    both = pairs.join(short, "word").alias("a").join(pairs.join(listed, "word").alias("b"), "partner").where((F.col("a.word") != F.col("b.word")) & (F.col("b.families") >= 2 * F.col("a.k")))
-    shared = both.groupBy(F.col("a.word").alias("short"), F.col("b.word").alias("full"), F.col("a.k").alias("k")).agg(F.count("*").alias("c")).where((F.col("c") >= F.greatest(F.lit(2), F.lit(FAMILIAR_SHARE) * F.col("k"))) & ((F.col("c") > 2) | (F.substring("short", 1, 1) == F.substring("full", 1, 1))))
-    by: dict[str, list[tuple[int, str]]] = {}
-    for r in shared.collect():
-        if not one_slip(r["short"], r["full"]):  # else a slip, not a form
-            by.setdefault(r["short"], []).append((r["c"], r["full"]))
-    out = []
-    for short, found in sorted(by.items()):
-        found.sort(reverse=True)
-        if len(found) == 1 or found[0][0] >= 3 * found[1][0]:
-            out.append((found[0][1], short))
-    return out
-
-
-def readings(names: DataFrame, v: Vocabulary) -> DataFrame:
-    """(kind, name, n, family, beside, full, form) of each distinct name; names with equal form read alike."""
-    shared = names.sparkSession.sparkContext.broadcast(v)
+    both = pairs.join(short, "word").alias("a").join(pairs.join(given, "word").alias("b"), "partner").where((F.col("a.word") != F.col("b.word")) & (F.col("b.families") >= 2 * F.col("a.k")))
+    shared = both.groupBy(F.col("a.word").alias("short"), F.col("b.word").alias("full"), F.col("a.k").alias("k")).agg(F.count("*").alias("c"))
+    shared = shared.where((F.col("c") >= F.greatest(F.lit(2), F.lit(FAMILIAR_SHARE) * F.col("k"))) & ((F.col("c") > 2) | (F.substring("short", 1, 1) == F.substring("full", 1, 1))) & ~_slip(F.col("short"), F.col("full")))
+    best = Window.partitionBy("short").orderBy(F.desc("c"), F.desc("full"))
+    ranked = shared.withColumn("second", F.lead("c").over(best)).withColumn("at", F.row_number().over(best))
+    return ranked.where((F.col("at") == 1) & (F.col("second").isNull() | (F.col("c") >= 3 * F.col("second")))).select("short", "full")
+
+
+def _vocabulary(said: DataFrame, forms: DataFrame) -> tuple[list[str], list[str], DataFrame, DataFrame]:
+    """(endings of family names, words of kind, given names (stem), familiar forms (stem, fulls, listed)) over the whole corpus; the lists are bounded by the shares above."""
+    tails = _tails(said)
+    beside = checkpointed(_beside(said, tails))
+    totals = {r["kind"]: r["n"] for r in said.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    least = F.when(F.col("kind") == "PER", max(GIVEN_PARTNERS, GIVEN_SHARE * totals.get("PER", 0))).otherwise(max(3, KIND_SHARE * totals.get("ORG", 0)))
+    usual = checkpointed(beside.groupBy("kind", "word").agg(F.count_distinct("partner").alias("families")).where(F.col("families") >= least))
+    kinds = sorted(r["word"] for r in usual.where("kind = 'ORG'").select("word").collect())
+    known = checkpointed(known_forms(forms))
+    listed = known.select(F.col("short").alias("word")).distinct()
+    given = usual.where("kind = 'PER' and length(word) > 2").join(listed, "word", "left_anti").select("word", "families")
+    learnt = checkpointed(_familiar(beside, given))
+    every = known.select("short", "said", F.col("full_name").alias("full"), F.lit(True).alias("listed")).unionByName(learnt.select("short", F.col("short").alias("said"), "full", F.lit(False).alias("listed")))
+    familiar = every.groupBy(F.col("short").alias("stem")).agg(F.collect_set(F.struct("said", "full")).alias("fulls"), F.collect_set(F.when(F.col("listed"), F.col("said"))).alias("listed"))
+    names = given.select(F.col("word").alias("stem")).join(learnt.select(F.col("short").alias("stem")), "stem", "left_anti").unionByName(known.select(F.col("full_name").alias("stem"))).distinct()
+    return tails, kinds, checkpointed(names), checkpointed(familiar)
+
+
+def _slips_of(stems: DataFrame, given: DataFrame) -> DataFrame:
+    """(stem, slip): the given name that a stem is one slip from, if it is only one; they meet in blocks of a letter left out."""
+    asked = stems.where(F.length("stem") >= 5).select("stem", F.explode(_shortened(F.col("stem"))).alias("block"))
+    named = given.where(F.length("stem") > 3).select(F.col("stem").alias("slip"), F.explode(_shortened(F.col("stem"))).alias("block"))
+    met = asked.join(named, "block").where(_slip(F.col("stem"), F.col("slip"))).select("stem", "slip").distinct()
+    return met.groupBy("stem").agg(F.count("*").alias("k"), F.min("slip").alias("slip")).where("k = 1").select("stem", "slip")
+
+
+def readings(said: DataFrame, forms: DataFrame) -> DataFrame:
+    """(kind, name, n, family, beside, full, form) of each distinct name, from ``_words``; names with equal form read alike."""
+    tails, kinds, given, familiar = _vocabulary(said, forms)
+    each = said.select("kind", "name", "n", F.explode_outer("own").alias("w"))
+    person = F.col("kind") == "PER"
+    known = given.withColumn("given", F.lit(True)).join(familiar, "stem", "full")
+    # what a stem is, once for each stem; a stem that is neither may be a slip
+    stems = each.where(person).select(F.col("w.stem").alias("stem")).dropna().distinct()
+    new = stems.join(known.select("stem"), "stem", "left_anti")
+    known = checkpointed(known.unionByName(_slips_of(new, given), allowMissingColumns=True))
+    each = each.join(known.withColumn("_kind", F.lit("PER")), (F.col("w.stem") == F.col("stem")) & (F.col("kind") == F.col("_kind")), "left")
+    no = F.lit(False)
+    word = F.struct("w.at", "w.word", "w.stem", "w.frame", "w.said", "w.short", F.coalesce("given", no).alias("given"), F.substring("w.stem", -TAIL, TAIL).isin(tails).alias("tail"), F.col("w.frame").isin(kinds).alias("kind"), "fulls", "listed", "slip")
+    whole = each.groupBy("kind", "name", "n").agg(F.array_sort(F.collect_list(F.when(F.col("w").isNotNull(), word))).alias("own"))
     out = "kind string, name string, n bigint, family string, beside array<array<string>>, full string, form string"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for pdf in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string(), pa.string()]
+        for batch in batches:
             rows = []
-            for kind, name, n in zip(pdf["kind"], pdf["name"], pdf["n"]):
-                family, beside, full = (read_person if kind == "PER" else read_organisation)(name, own)
+            for kind, name, n, own in zip(*(c.to_pylist() for c in batch.columns)):
+                family, beside, full = (read_person if kind == "PER" else read_organisation)(own)
                 if family is None:
                     form = f"{kind}|?|" + " ".join(w.rstrip(".") for w in words(name)) if words(name) else f"{kind}|?|{name}"
                 else:
                     beside = sorted({tuple(b) for b in beside})
                     form = f"{kind}|{family}|" + " ".join("/".join(b) for b in beside)
                 rows.append((kind, name, n, family, [list(b) for b in beside], full, form))
-            yield pd.DataFrame(rows, columns=["kind", "name", "n", "family", "beside", "full", "form"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(fields)], ["kind", "name", "n", "family", "beside", "full", "form"])
 
-    return names.select("kind", "name", "n").mapInPandas(run, out)
+    # given a number, as a table of names is small for its work
+    return whole.repartition(2 * said.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, out)
 
 
 def _fits(beside: Column, givens: Column) -> Column:
@@ -255,17 +257,20 @@ def _shortened(family: Column) -> Column:
     return F.array_distinct(F.concat(F.array(family), left_out))
 
 
-def resolve(read: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
-    """(form, entity): the entity of each form, from ``readings``."""
+def resolve(read: DataFrame) -> DataFrame:
+    """(form, entity): the entity of each form, from ``readings``.
+
+    A round moves records to profiles, or to the richest record of their family, and
+    profiles to profiles of more mentions, so moves make no circle: the last of every chain
+    has a target that stays. Each round therefore has fewer entities than the one before,
+    and the rounds end.
+    """
     forms = read.groupBy("form").agg(F.first("kind").alias("kind"), F.first("family").alias("family"), F.first("beside").alias("beside"), F.first("full").alias("full"), F.sum("n").alias("n"))
     # what reads as the same full name is one profile from the start, familiar forms beside it or not
     start = F.when(F.col("full").isNotNull(), F.concat_ws("|", "kind", "family", F.lit("="), "full")).otherwise(F.col("form"))
     state = checkpointed(forms.withColumn("entity", start))
-    for _ in range(rounds):
-        moves = checkpointed(_round(state))
-        if moves.isEmpty():
-            break
-        # what would move to a profile that moves itself waits for the next round; mentions grow along the way, so some always move
+    while not (moves := checkpointed(_round(state))).isEmpty():
+        # what would move to a profile that moves itself waits for the next round
         moves = moves.join(moves.select(F.col("entity").alias("to")).hint("merge"), "to", "left_anti")
         state = checkpointed(state.join(moves.hint("merge"), "entity", "left").withColumn("entity", F.coalesce("to", "entity")).drop("to"))
     return state.select("form", "entity")
@@ -299,12 +304,23 @@ def _round(state: DataFrame) -> DataFrame:
     given = F.col("full").isNotNull()
     short = F.greatest(F.length("family"), F.length("to_family")) < SHORT_FAMILY
     slip = (F.col("family") != F.col("to_family")) & (given | ((F.coalesce("k", F.lit(0)) <= 1) & ~short)) & fewer & _slip(F.col("family"), F.col("to_family"))
-    pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare)
+    pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare).unionByName(_among_themselves(known))
     chosen = pairs.groupBy("entity").agg(F.collect_set(F.when(F.col("same"), F.col("to"))).alias("equal"), F.collect_set(F.when(~F.col("same"), F.col("to"))).alias("slips"))
     chosen = chosen.withColumn("may", F.when(F.size("equal") > 0, F.col("equal")).otherwise(F.col("slips")))
     return chosen.where("size(may) = 1").select("entity", F.col("may")[0].alias("to"))
 
 
+def _among_themselves(known: DataFrame) -> DataFrame:
+    """(entity, to, same): records of a family name without a profile, and the one of them that says most, if all the others may be it."""
+    open_ = known.where("full is null and k is null")
+    says = F.aggregate("beside", F.lit(0), lambda n, w: n + F.length(w[0]))
+    block = ["kind", "family"]
+    richest = open_.groupBy(*block).agg(F.count("*").alias("_records"), F.max_by(F.struct(F.col("entity").alias("to"), F.transform("beside", lambda w: w[0]).alias("words")), F.struct(says, "n", "entity")).alias("_r")).where("_records > 1").select(*block, "_r.*")
+    met = open_.join(richest.hint("merge"), block).withColumn("_fits", (F.col("entity") == F.col("to")) | _fits(F.col("beside"), F.col("words")))
+    agreed = met.groupBy(*block).agg(F.min("_fits").alias("_all")).where("_all").select(*block)
+    return met.join(agreed.hint("merge"), block, "left_semi").where("entity <> to").select("entity", "to", F.lit(True).alias("same"))
+
+
 def distinct_names(mentions: DataFrame, recipients: DataFrame) -> DataFrame:
     """(kind, name, n): each distinct name once; one found as person and organisation is what it is more often."""
     found = mentions.where(F.col("label").isin("PER", "ORG") & F.col("text").isNotNull()).groupBy(F.col("label").alias("kind"), F.col("text").alias("name")).agg(F.count("*").alias("n"))
@@ -319,8 +335,8 @@ def entities(mentions: DataFrame, recipients: DataFrame, forms: DataFrame) -> Da
     Null and empty names are left out; a name without a letter is an entity of its own
     spelling; a name that fits several profiles stays by itself.
     """
-    names = checkpointed(distinct_names(mentions, recipients))
-    read = checkpointed(readings(names, vocabulary(names, forms)))
+    names = distinct_names(mentions, recipients)
+    read = checkpointed(readings(checkpointed(_words(names)), forms))
     return read.select("name", "form").join(resolve(read).hint("merge"), "form").select("name", "entity")
 
 
