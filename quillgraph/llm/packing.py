@@ -235,7 +235,8 @@ def pack(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", size_c
 
     open_ = base.where("rest > 0").select("container_kind", "capacity", F.expr("pmod(xxhash64(id, size, copy), shards)").alias("shard"), "id", "copy", F.col("full").alias("piece"), (F.col("full") * F.col("capacity")).alias("start_token"), "rest")
     # the number of partitions is given, as shards of few bytes and much work must not be put together again
-    packed = open_.repartition(2 * sum(shards), "container_kind", "capacity", "shard").groupBy("container_kind", "capacity", "shard").applyInArrow(run, out)
+    partitions = max(min(sum(shards), 4 * spark.sparkContext.defaultParallelism), sum(shards) // 16)
+    packed = open_.repartition(partitions, "container_kind", "capacity", "shard").groupBy("container_kind", "capacity", "shard").applyInArrow(run, out)
     return whole.unionByName(none).unionByName(packed).withColumnRenamed("id", id_col)
 
 
