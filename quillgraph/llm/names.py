@@ -40,8 +40,8 @@ TAIL_RATIO, TAIL_SHARE, TAIL = 2, 1e-3, 2
 FAMILIAR_SHARE = 0.3
 #: A word is of the kind of an organisation if it stands before as many different last words as this share of names, and three at least.
 KIND_SHARE = 0.002
-#: A profile that may be a slip of another has fewer mentions, at most this part of its or FEW.
-SLIP_PART, FEW = 0.4, 3
+#: A profile that may be a slip of another has not more mentions, at most this part of its or FEW.
+SLIP_PART, FEW = 0.6, 6
 #: Letters from which a family name is matched with a slip without a full given name.
 SHORT_FAMILY = 6
 
@@ -261,7 +261,7 @@ def resolve(read: DataFrame) -> DataFrame:
     """(form, entity): the entity of each form, from ``readings``.
 
     A round moves records to profiles, or to the richest record of their family, and
-    profiles to profiles of more mentions, so moves make no circle: the last of every chain
+    profiles to profiles of more mentions, of equals to the first by name, so moves make no circle: the last of every chain
     has a target that stays. Each round therefore has fewer entities than the one before,
     and the rounds end.
     """
@@ -298,8 +298,8 @@ def _round(state: DataFrame) -> DataFrame:
     asked = known.where("size(beside) > 0").select("entity", "kind", "family", "n", "full", "k", "beside", initial(F.col("beside")[0]).alias("initial")).withColumn("block", F.explode(_shortened(F.col("family"))))
     met = asked.join(target.hint("merge"), ["kind", "initial", "block"]).where((F.col("entity") != F.col("to")) & _fits(F.col("beside"), F.col("givens")))
     same = (F.col("family") == F.col("to_family")) & F.col("full").isNull()
-    # a slip has far fewer mentions than what it is a slip of, unless no profile has its family name
-    fewer = ((F.col("n") < F.col("m")) & (F.col("n") <= F.greatest(F.lit(FEW), SLIP_PART * F.col("m")))) | (F.col("full").isNull() & F.col("k").isNull())
+    # a slip has fewer mentions than what it is a slip of, unless no profile has its family name; of two as rare either may be the slip
+    fewer = (((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & F.col("full").isNotNull() & (F.col("entity") > F.col("to")))) & (F.col("n") <= F.greatest(F.lit(FEW), SLIP_PART * F.col("m")))) | (F.col("full").isNull() & F.col("k").isNull())
     # relatives may share a misspelled family name: a full name is judged by itself, and it fits what has the same given name. Two short names are often one slip apart, so they need it
     given = F.col("full").isNotNull()
     short = F.greatest(F.length("family"), F.length("to_family")) < SHORT_FAMILY
