@@ -4,11 +4,15 @@ Counts over the whole corpus give a lexicon (words of at least a set relative
 frequency, so it has a bounded number of words), the words of names and dates, words that
 stand with a hyphen of their own before another, and lines that recur inside
 sentences. Words outside the lexicon that a small change makes one inside tell which
-characters are misread for which. An averaged perceptron is then trained on lexicon
-words, misread and cut at line ends in these ways, to edit characters: keep, replace,
-delete, insert, join over a line end. Words outside the lexicon are edited by a beam over
-its scores; an edit counts if it ends in the lexicon. Furniture is found by position: page
-numbers alone on a line, and running titles by how often a page number is at their line.
+characters are misread for which, dropped, added or run together. An averaged perceptron is
+then trained on lexicon words, misread and cut at line ends in these ways, to edit
+characters: keep, replace, delete, insert, join over a line end. Words outside the lexicon
+are edited by the best path over its scores among all that spell a word of the lexicon.
+
+Furniture is found by position: running titles by how often a page number is at their
+line, and page numbers by a second perceptron over what a line looks like, where in the
+letter it stands and what stands around it, trained on a sample of lines between
+which a sentence goes on or that are beside a title.
 """
 
 from __future__ import annotations
@@ -31,7 +35,11 @@ WORD_SHARE, TITLE_SHARE = 1.5e-5, 1.5e-4
 LEAST_WORDS, LEAST_TITLES = 3, 3
 #: Share of a running title's lines that have a page number of their own or next to them, at least.
 AT_PAGE = 0.25
-TRAINING_WORDS, EPOCHS, BEAM = 6000, 4, 24
+TRAINING_WORDS, EPOCHS = 6000, 4
+#: Letters whose lines the perceptron of furniture is trained on, at most, spread by a hash of the text.
+TRAINING_LETTERS = 2000
+#: A confusion of one printed letter has at least this share of the types of the most usual one; one of two letters, or of none, the second share, as words of a language are often a letter apart.
+CONFUSION_SHARE, CHANGE_SHARE, LEAST_TYPES = 0.03, 0.2, 5
 
 _HYPHENS = "-‐‑¬­"
 _EDGE = ".,;:?!()[]\"”„»«'’"
@@ -54,6 +62,29 @@ def is_page_number(line: str) -> bool:
     return bool(_PAGE.match(line)) and any(c.isdigit() for c in line)
 
 
+_LOW = re.compile(r"[^\W\d_]{4}")
+_ALONE = re.compile(r"(?<![\w@$§|!])\d+(?![\w@$§|!])")
+
+
+def may_be_page(line: str) -> bool:
+    """A line with a number of its own and no word of four letters."""
+    return bool(_ALONE.search(line)) and not _LOW.search(line)
+
+
+def line_features(lines: list[str], i: int, titles: list[bool]) -> list[str]:
+    """What a line looks like, where it stands and what is around it."""
+    line = lines[i].strip()
+    digits = sum(c.isdigit() for c in line)
+    form = re.sub(r"\d+", "0", line.lower())
+    before, after = (lines[i - 1].rstrip() if i else ""), (lines[i + 1].strip() if i + 1 < len(lines) else "")
+    place = "first" if i == 0 else "later"
+    groups, letters = len(re.findall(r"\d+", line)), sum(c.isalpha() for c in line)
+    end = before[-1:] if before[-1:] in ".!?:," or before[-1:] in _HYPHENS else "x" if before else ""
+    begin = "small" if after[:1].islower() else "large" if after[:1].isupper() else "other" if after else ""
+    near = (i > 0 and titles[i - 1]) or (i + 1 < len(lines) and titles[i + 1])
+    return ["b", f"n{min(digits, 6)}", f"f{form}", f"fn{form}{min(digits, 6)}", f"g{groups}", f"a{min(letters, 6)}", f"ga{groups}{letters > 0}", f"p{place}", f"e{end}", f"es{end}{begin}", f"t{near}", f"tp{near}{place}", f"w{min(len(line) // 4, 8)}"]
+
+
 @dataclass
 class Perceptron:
     """Averaged perceptron over sparse features, one weight for each feature and action."""
@@ -70,7 +101,8 @@ class Perceptron:
                         out[a] += own[a]
         return out
 
-    def train(self, examples: list[tuple[list[str], str, list[str]]], epochs: int, seed: int = 7) -> None:
+    def train(self, examples: list[tuple[list[str], str, list[str]]], epochs: int, seed: int = 7, margin: float = 0.0) -> None:
+        """Learn also from what is right by less than ``margin``."""
         total: dict[tuple[str, str], float] = defaultdict(float)
         since: dict[tuple[str, str], int] = defaultdict(int)
         now, chance = 0, random.Random(seed)
@@ -81,7 +113,11 @@ class Perceptron:
                 scores = self.score(features, actions)
                 guess = max(actions, key=lambda a: (scores[a], a))
                 if guess == right:
-                    continue
+                    if not margin:
+                        continue
+                    guess = max((a for a in actions if a != right), key=lambda a: (scores[a], a))
+                    if scores[right] - scores[guess] >= margin:
+                        continue
                 for f in features:
                     own = self.weights.setdefault(f, {})
                     for a, step in ((right, 1.0), (guess, -1.0)):
@@ -100,6 +136,11 @@ def _features(s: str, i: int) -> list[str]:
     return ["b", f"0{c}", f"1{p[i - 1]}{c}", f"2{c}{p[i + 1]}", f"3{p[i - 2 : i + 1]}", f"4{p[i : i + 3]}", f"5{p[i - 1]}{c}{p[i + 1]}", f"6{p[i - 2 : i]}{p[i + 1 : i + 3]}"]
 
 
+def _action(printed: str, read: str) -> str:
+    """The first action of a change: what is read becomes what is printed, and further read characters go."""
+    return "delete" if not printed else f"replace {printed}" if len(read) <= 1 else f"replace {printed} delete"
+
+
 @dataclass
 class Editor:
     """What workers need: lexicon, suspended words, running titles, confusions, words of one letter and the perceptron."""
@@ -110,12 +151,16 @@ class Editor:
     confusions: dict[str, list[str]]
     letters: set[str] = field(default_factory=set)
     model: Perceptron = field(default_factory=Perceptron)
+    furniture: Perceptron = field(default_factory=Perceptron)
 
     def __post_init__(self):
+        self.prefixes: set[str] = set()
         self.starts: dict[str, list[tuple[str, str]]] = defaultdict(list)
+        self.dropped = [printed for printed, reads in self.confusions.items() if "" in reads]
         for printed, reads in self.confusions.items():
             for read in reads:
-                self.starts[read[0]].append((printed, read))
+                if read:
+                    self.starts[read[0]].append((printed, read))
         self.known: dict[str, tuple[str, tuple[int, ...]] | None] = {}
         self.by_size: dict[int, list[str]] = defaultdict(list)
         for t in self.titles:
@@ -129,29 +174,44 @@ class Editor:
         out = [(1, s[i], "keep")]
         for printed, read in self.starts.get(s[i], ()):
             if s.startswith(read, i):
-                out.append((len(read), printed, f"replace {printed}" if len(read) <= 1 else f"replace {printed} delete"))
+                out.append((len(read), printed, _action(printed, read)))
+        for printed in self.dropped:
+            out.append((1, printed + s[i], f"insert {printed}"))
+            if i == len(s) - 1:
+                out.append((1, s[i] + printed, f"append {printed}"))
         return out
 
+    def begins(self, made: str) -> bool:
+        """Whether a word of the lexicon begins so."""
+        if not self.prefixes:
+            self.prefixes = {w[:n] for w in self.lexicon for n in range(len(w) + 1)}
+        return made in self.prefixes or (made[:1].isupper() and made[0].lower() + made[1:] in self.prefixes)
+
     def correct(self, word: str) -> tuple[str, tuple[int, ...]] | None:
         """The lexicon's word that a word outside it is misread from, and the places of the edits; none if there is none."""
         if word in self.known:
             return self.known[word]
         if len(self.known) > 300_000:
             self.known.clear()
-        beam: dict[int, list[tuple[float, str, tuple[int, ...]]]] = defaultdict(list)
-        beam[0].append((0.0, "", ()))
+        # of all ways to spell the same beginning the best, at each place
+        paths: dict[int, dict[str, tuple[float, tuple[int, ...]]]] = defaultdict(dict)
+        paths[0][""] = (0.0, ())
         for i in range(len(word)):
-            if i not in beam:
+            if i not in paths:
                 continue
-            now = sorted(beam.pop(i), key=lambda x: -x[0])[:BEAM]
             options = self.actions(word, i)
             scores = self.model.score(_features(word, i), [a for *_, a in options]) if len(options) > 1 else {"keep": 0.0}
-            for score, made, places in now:
+            for made, (score, places) in paths.pop(i).items():
                 for n, text, action in options:
-                    beam[i + n].append((score + scores[action], made + text, places if action == "keep" else (*places, i)))
+                    to = made + text
+                    if text and not self.begins(to):
+                        continue
+                    own = paths[i + n]
+                    if to not in own or own[to][0] < score + scores[action]:
+                        own[to] = (score + scores[action], places if action == "keep" else (*places, i))
         best = None
-        for score, made, places in sorted(beam[len(word)], key=lambda x: -x[0]):
-            if places and len(places) <= 4 and (made in self.lexicon or (made[0].isupper() and made[0].lower() + made[1:] in self.lexicon)):
+        for made, (_, places) in sorted(paths[len(word)].items(), key=lambda x: (-x[1][0], x[0])):
+            if places and made and self.has(made):
                 best = made, places
                 break
         self.known[word] = best
@@ -201,6 +261,11 @@ class Editor:
             self.title_known[key] = any(one_slip(key, t) or distance(key, t, slips) <= slips for t in near)
         return self.title_known[key]
 
+    def is_page(self, lines: list[str], i: int, titles: list[bool]) -> bool:
+        """Whether a line is a page number: the perceptron's choice from its looks, place and neighbours."""
+        scores = self.furniture.score(line_features(lines, i, titles), ["page", "body"])
+        return scores["page"] > scores["body"]
+
     def joins(self, left: str, right: str) -> bool:
         """Whether a word cut before a line end goes on in the next line: the perceptron's choice at the hyphen."""
         scores = self.model.score(self.join_features(left, right), ["keep", "join"])
@@ -216,11 +281,12 @@ class Editor:
         kinds: list[set[str]] = [set() for _ in lines]
         fixed = list(lines)
         body = []
+        titles = [self.is_title(line) for line in lines]
         for i, line in enumerate(lines):
-            if len(line) < 24 and is_page_number(line):
+            if may_be_page(line) and self.is_page(lines, i, titles):
                 kinds[i].add("page")
                 fixed[i] = ""
-            elif self.is_title(line):
+            elif titles[i]:
                 kinds[i].add("header")
                 fixed[i] = ""
             elif line.strip():
@@ -311,20 +377,26 @@ def _confusions(lexicon: dict[str, int], others: DataFrame) -> dict[str, list[st
     shared = others.sparkSession.sparkContext.broadcast(list(lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # what a word has between a beginning and an end: nothing, a letter or two
         around: dict[tuple[str, str], set[str]] = defaultdict(set)
-        for v in shared.value:
+        whole = set(shared.value)
+        for v in whole:
             for i in range(len(v)):
                 around[v[:i], v[i + 1 :]].add(v[i])
+                if i + 1 < len(v):
+                    around[v[:i], v[i + 2 :]].add(v[i : i + 2])
         for batch in batches:
             found: list[tuple[str, str]] = []
             for w in batch.column(0).to_pylist():
-                met = {(o, w[i : i + k]) for i in range(len(w)) for k in (1, 2) if i + k <= len(w) for o in around.get((w[:i], w[i + k :]), ())}
-                found += [(o, s) for o, s in met if s[0] != o and s[-1] != o and skeleton(s) != skeleton(o)]
+                met = {(o, w[i : i + k]) for i in range(len(w) + 1) for k in (0, 1, 2) if i + k <= len(w) for o in around.get((w[:i], w[i + k :]), ()) if len(o) == 1 or k == 1}
+                met |= {("", w[i]) for i in range(len(w)) if w[:i] + w[i + 1 :] in whole}
+                found += [(o, s) for o, s in met if not (o and s and (s[0] == o[0] or s[-1] == o[-1])) and skeleton(s) != skeleton(o)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], ["printed", "read"])
 
-    types = others.select("w").mapInArrow(run, "printed string, read string").groupBy("printed", "read").agg(F.count("*").alias("n")).where("n >= 5").collect()
-    most = max((r["n"] for r in types), default=0)
-    found = {(r["printed"], r["read"]) for r in types if r["n"] >= 0.03 * most} | set(COMMON)
+    types = others.select("w").mapInArrow(run, "printed string, read string").groupBy("printed", "read").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_TYPES).collect()
+    usual = lambda r: len(r["printed"]) == 1 and r["read"] != ""
+    most = max((r["n"] for r in types if usual(r)), default=0) or max((r["n"] for r in types), default=0)
+    found = {(r["printed"], r["read"]) for r in types if r["n"] >= (CONFUSION_SHARE if usual(r) else CHANGE_SHARE) * most} | set(COMMON)
     out: dict[str, list[str]] = defaultdict(list)
     for printed, read in sorted(found):
         out[printed].append(read)
@@ -336,16 +408,22 @@ def _examples(editor: Editor, words: list[str], seed: int = 11) -> list[tuple[li
     chance = random.Random(seed)
     out: list[tuple[list[str], str, list[str]]] = []
     for word in words:
-        read, right = "", []
-        for c in word:
-            reads = editor.confusions.get(c)
-            if reads and chance.random() < 0.25:
-                r = chance.choice(reads)
-                right.append((len(read), f"replace {c}" if len(r) == 1 else f"replace {c} delete"))
-                read += r
-            else:
-                right.append((len(read), "keep"))
-                read += c
+        read, right, at, lost = "", [], 0, ""
+        while at < len(word):
+            # a change that begins here, of one printed letter or two, or an added letter
+            may = [(printed, r) for printed in (word[at], word[at : at + 2], "") for r in editor.confusions.get(printed, ())] if chance.random() < 0.25 else []
+            printed, r = chance.choice(may) if may else (word[at], word[at])
+            if printed and not r:
+                lost, at = printed, at + 1
+                continue
+            action = "keep" if printed == r else _action(printed, r)
+            if lost and action == "keep":
+                action, lost = f"insert {lost}", ""
+            right.append((len(read), action))
+            read += r
+            at += len(printed)
+        if lost and right and right[-1][1] == "keep":
+            right[-1] = (right[-1][0], f"append {lost}")
         for i, action in right:
             options = [a for *_, a in editor.actions(read, i)]
             if action not in options:
@@ -371,7 +449,7 @@ def fit(letters: DataFrame, mentions: DataFrame | None = None, text_col: str = "
     are not in the lexicon.
     """
     texts = letters.select(F.col(text_col).alias("text")).where("text is not null")
-    words = texts.select(_tokens(F.col("text")).alias("w")).select(_bare(F.col("w")).alias("w")).where("length(w) between 1 and 40").groupBy("w").agg(F.count("*").alias("n"))
+    words = texts.select(_tokens(F.col("text")).alias("w")).select(_bare(F.col("w")).alias("w")).where("length(w) > 0").groupBy("w").agg(F.count("*").alias("n"))
     if mentions is not None:
         # distinct spellings first, as one name may have a tenth of all mentions
         spelled = mentions.select(F.col(mention_col).alias("text")).where("text is not null").groupBy("text").agg(F.count("*").alias("m"))
@@ -392,15 +470,42 @@ def fit(letters: DataFrame, mentions: DataFrame | None = None, text_col: str = "
     editor = Editor(lexicon, suspended, _titles(texts), confusions, letters_)
     chosen = sorted(lexicon, key=lambda w: (-lexicon[w], w))[:TRAINING_WORDS]
     editor.model.train(_examples(editor, [w for w in chosen if w.isalpha()]), EPOCHS)
+    editor.furniture.train(_furniture_examples(editor, _sampled(texts)), EPOCHS, margin=2.0)
     return editor
 
 
+def _sampled(texts: DataFrame, bound: int = TRAINING_LETTERS) -> list[str]:
+    """At most ``bound`` texts, spread by a hash; only for fitting."""
+    share = min(1.0, 0.9 * bound / max(1, texts.count()))
+    rows = texts.where((F.xxhash64("text") / F.lit(2.0**63)).between(-1.0, 2 * share - 1)).limit(bound)
+    return sorted(r["text"] for r in rows.collect())
+
+
+def _furniture_examples(editor: Editor, texts: list[str]) -> list[tuple[list[str], str, list[str]]]:
+    """Lines that are a number in the midst of a sentence or beside a title, and lines with digits that are no number alone; what could be either is left out."""
+    out = []
+    for text in texts:
+        lines = text.split("\n")
+        titles = None
+        for i, line in enumerate(lines):
+            if not may_be_page(line):
+                continue
+            titles = titles if titles is not None else [editor.is_title(x) for x in lines]
+            inside = 0 < i < len(lines) - 1
+            goes_on = inside and lines[i - 1].strip() and lines[i + 1].strip() and lines[i - 1].rstrip()[-1] not in ".!?"
+            if not is_page_number(line):
+                out.append((line_features(lines, i, titles), "body", ["page", "body"]))
+            elif goes_on or (inside and (titles[i - 1] or titles[i + 1])):
+                out.append((line_features(lines, i, titles), "page", ["page", "body"]))
+    return out
+
+
 def _titles(texts: DataFrame) -> set[str]:
     """Keys of running titles: lines of the whole corpus that recur, and are often where the page number is."""
     split = texts.select(F.split("text", "\n").alias("l"))
     # a running title has capitals or no stop; a line that begins small is prose
     around = F.transform("l", lambda x, i: F.struct(x.alias("line"), F.get("l", i - 1).alias("before"), F.get("l", i + 1).alias("after")))
-    lines = split.select(F.explode(F.filter(around, lambda x: F.length(x["line"]).between(6, 90) & ~x["line"].rlike(r"^\s*\p{Ll}"))).alias("x")).select("x.*")
+    lines = split.select(F.explode(F.filter(around, lambda x: (F.length(x["line"]) >= 6) & ~x["line"].rlike(r"^\s*\p{Ll}"))).alias("x")).select("x.*")
     total = split.agg(F.coalesce(F.sum(F.size("l")), F.lit(0)).alias("n")).first()["n"]
     page = r"(?i)^[\W_]*((str|s|p)\.?\s*)?\d{1,4}[\W_]*$"
     beside = F.coalesce(F.col("before").rlike(page), F.lit(False)) | F.coalesce(F.col("after").rlike(page), F.lit(False))

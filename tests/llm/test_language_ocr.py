@@ -100,7 +100,39 @@ def test_ocr(spark):
     assert ocr.fit(letters.limit(0), said).lexicon == {}
 
 
-def test_beam_is_exact_on_known_words():
+def test_search_is_exact_on_known_words():
     e = ocr.Editor({"pismo": 9, "nema": 9, "Kad": 9}, set(), set(), {"m": ["rn"], "o": ["0"], "e": ["c"]})
     assert e.misread("pisrn0,")[0] == "pismo" and e.misread("ncrna.")[0] == "nema" and e.misread("pismo") is None and e.misread("Pismo") is None and e.misread("XII") is None
     assert e.misread("p") is None and e.misread("") is None
+
+
+def test_edits_of_every_kind():
+    """Letters dropped, added, run together and taken apart are put right, as many as there are."""
+    words_ = ["pismo", "odgovor", "barka", "vernost", "sutra", "kolovoz"]
+    e = ocr.Editor({w: 9 for w in words_}, set(), set(), {"rn": ["m"], "r": [""], "": ["x"], "o": ["0"], "t": [""]})
+    e.model.train(ocr._examples(e, words_ * 60), 4)
+    assert e.misread("vemost")[0] == "vernost" and e.misread("bakа".replace("а", "a"))[0] == "barka" and e.misread("pixsmo")[0] == "pismo"
+    assert e.misread("0dg0v0r,")[0] == "odgovor" and e.misread("k0l0v0z")[0] == "kolovoz" and e.misread("sura")[0] == "sutra" and e.misread("vernos")[0] == "vernost"
+    assert e.misread("xodgxovxor")[0] == "odgovor" and e.misread("zima") is None and e.misread("o" * 5000) is None
+
+
+def test_changes_are_learnt_where_they_are_usual(spark):
+    """Letters run together count as a confusion only in a corpus that has many of them."""
+    chance = random.Random(4)
+    syllables = ["ver", "ka", "sto", "lu", "pin", "dra", "mo", "zel"]
+    whole = sorted({"".join(chance.choice(syllables) for _ in range(3)) + "rna" for _ in range(150)})
+    rows = [" ".join(chance.sample(whole, 12)) for _ in range(300)]
+    bad = [" ".join(w[:-3] + "ma" for w in chance.sample(whole, 12)) for _ in range(20)]
+    frame = lambda texts: spark.createDataFrame([(str(i), t, None) for i, t in enumerate(texts)], "letter_id string, text string, raw_header string")
+    assert "m" in ocr.fit(frame(rows + bad)).confusions["rn"] and "rn" not in ocr.fit(frame(rows)).confusions
+    editor = ocr.fit(frame(rows + bad))
+    found = {r["letter_id"] for r in ocr.noise(frame(rows + bad), editor).collect()}
+    assert found == {str(i) for i in range(len(rows), len(rows) + len(bad))}
+
+
+def test_page_numbers_by_place(spark):
+    """A number in the midst of a sentence is a page's, one that ends an address or a file number isn't."""
+    rows = letters_of(spark) + [(f"m{i}", f"Draga gospođo,\nBr. {i}\nprimio sam pismo i\n- {i} -\nodgovaram na sve.\nTel. {i}") for i in range(200)]
+    editor = ocr.fit(spark.createDataFrame([(a, t, None) for a, t in rows], "letter_id string, text string, raw_header string"))
+    kinds, _ = editor.read(["Draga gospođo,", "Br. 71", "primio sam pismo i", "- 71 -", "odgovaram na sve.", "Tel. 71"])
+    assert [sorted(k) for k in kinds] == [[], [], [], ["page"], [], []]
