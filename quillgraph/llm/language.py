@@ -5,6 +5,8 @@ in it. A sentence is encoded with every dictionary of its script, and the fewer
 bytes, the likelier the language. Sentences with a narrow margin are not decided alone:
 the cheapest sequence of languages over the whole text, where every change costs SWITCH
 bytes, assigns them, and a passage of fewer than PASSAGE sentences joins its neighbour.
+A passage whose best language is less than REJECT bytes ahead of the next is rejected: it
+keeps the likelier language, as every passage has one, but is marked as not told apart.
 
 Dictionaries start from the seeds and from a bounded sample of labelled documents;
 sentences whose language is not the one noted are then taken out and the dictionaries
@@ -21,12 +23,14 @@ from itertools import zip_longest
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled documents sampled for each label, at most; bytes of a dictionary.
 SAMPLE_DOCUMENTS, DICTIONARY_BYTES = 250, 100_000
 LEVEL, SWITCH, OTHER_SCRIPT, PASSAGE = 3, 14, 20, 2
+#: Bytes that a passage's language is ahead of the next, at least, or it is rejected; the confidence is then below 0.73.
+REJECT = 6
 
 # Common words and phrases of each language, for the first dictionaries.
 SEEDS = {
@@ -115,8 +119,8 @@ class Classifier:
         raw = sentence.encode("utf-8", "replace")
         return {c: len(self.of[c].compress(raw)) for c in (self.cyrillic if cyrillic else self.latin)}
 
-    def passages(self, text: str) -> list[tuple[int, int, str, float, int]]:
-        """(start, end, language, confidence, sentences) of the passages of one text, in order."""
+    def passages(self, text: str) -> list[tuple[int, int, str, float, int, bool]]:
+        """(start, end, language, confidence, sentences, rejected) of the passages of one text, in order."""
         spans = sentences(text)
         costs, proper = [], []
         for a, b in spans:
@@ -170,7 +174,7 @@ class Classifier:
         for c, a, b in runs:
             total = [sum(row[i] for row in rows[a:b]) for i in range(len(codes))]
             margin = min((x for i, x in enumerate(total) if i != c), default=total[c] + 40) - total[c]
-            out.append((spans[a][0], spans[b - 1][1], codes[c], round(1 / (1 + math.exp(-margin / 6)), 6), b - a))
+            out.append((spans[a][0], spans[b - 1][1], codes[c], round(1 / (1 + math.exp(-margin / 6)), 6), b - a, margin < REJECT))
         return out
 
 
@@ -199,7 +203,7 @@ def fit(sample: list[tuple[str, str]], rounds: int = 2) -> Dictionaries:
         halves = [{c: [] for c in SEEDS} for _ in (0, 1)]
         for i, text in enumerate(texts):
             own = made[1 - i % 2]
-            for start, end, lang, sure, _ in own.passages(text):
+            for start, end, lang, sure, _, _ in own.passages(text):
                 for a, b in sentences(text[start:end]) if sure > 0.99 else ():
                     s = plain(text[start + a : start + b])
                     small = small_words(s)
@@ -218,11 +222,9 @@ def _dictionaries(by: dict[str, list[str]], most: int) -> Dictionaries:
 def sampled(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, bound: int = SAMPLE_DOCUMENTS) -> list[tuple[str, str]]:
     """At most ``bound`` labelled texts of each language, those with the least hash of the id; only for fitting."""
     noted = labels.where(F.col(label_col).isin(*CODES)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).dropna().distinct()
-    # a bounded choice of ids first, so that no other text is moved
-    chosen = None
-    for code in CODES:
-        one = noted.where(F.col("label") == code).orderBy(F.xxhash64("id"), "id").limit(bound)
-        chosen = one if chosen is None else chosen.unionByName(one)
+    # a bounded choice of ids first, in one pass, so that no other text is moved; the limit by rank is applied before the shuffle too
+    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    chosen = noted.withColumn("n", F.row_number().over(first)).where(F.col("n") <= bound).select("id", "label")
     ids = chosen.collect()
     listed = documents.sparkSession.createDataFrame(ids, "id string, label string") if ids else None
     if listed is None:
@@ -231,22 +233,22 @@ def sampled(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return sorted((r["label"], r["text"]) for r in texts.select("id", "label", "text").dropDuplicates(["id"]).collect())
 
 
-PASSAGES = "array<struct<start:int,end:int,lang:string,confidence:double,sentences:int>>"
+PASSAGES = "array<struct<start:int,end:int,lang:string,confidence:double,sentences:int,rejected:boolean>>"
 
 
 def passages(documents: DataFrame, dictionaries: Dictionaries, id_col: str = "letter_id", text_col: str = "text") -> DataFrame:
     """(id, passages): the passages of every row in order, with offsets in code points, language and confidence.
 
-    A null or empty text and one without letters have an empty list. A text has as many
+    A null or empty text and one without letters have an empty list; a narrow margin is marked as rejected. A text has as many
     rows as it is repeated. One pass, no shuffle; whole texts.
     """
     shared = documents.sparkSession.sparkContext.broadcast(dictionaries)
     kind = documents.schema[id_col].dataType.simpleString()
-    item = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("sentences", pa.int32())]))
+    item = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("sentences", pa.int32()), ("rejected", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Classifier(shared.value)
-        keys = ("start", "end", "lang", "confidence", "sentences")
+        keys = ("start", "end", "lang", "confidence", "sentences", "rejected")
         for batch in batches:
             found = [[dict(zip(keys, p)) for p in own.passages(t.as_py() or "")] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, item)], ["id", "passages"])

@@ -31,7 +31,7 @@ def p2_passages(spark: SparkSession, folder: str) -> DataFrame:
     letters = read_table(spark, folder, "letters_fixed")
     dictionaries = language.fit(language.sampled(letters, read_table(spark, folder, "letter_intake"), "letter_id", "text", "lang_label"))
     found = language.passages(letters, dictionaries)
-    return found.select("letter_id", F.posexplode("passages").alias("passage_no", "p")).select("letter_id", "passage_no", "p.start", "p.end", "p.lang", "p.confidence", "p.sentences")
+    return found.select("letter_id", F.posexplode("passages").alias("passage_no", "p")).select("letter_id", "passage_no", "p.start", "p.end", "p.lang", "p.confidence", "p.sentences", "p.rejected")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -136,3 +136,12 @@ def test_page_numbers_by_place(spark):
     editor = ocr.fit(spark.createDataFrame([(a, t, None) for a, t in rows], "letter_id string, text string, raw_header string"))
     kinds, _ = editor.read(["Draga gospođo,", "Br. 71", "primio sam pismo i", "- 71 -", "odgovaram na sve.", "Tel. 71"])
     assert [sorted(k) for k in kinds] == [[], [], [], ["page"], [], []]
+
+
+def test_narrow_margins_are_rejected():
+    """Dictionaries that say the same of a text leave it rejected; a text of one of them alone is not."""
+    same = language.Classifier(language.Dictionaries({"sr": b"x" * 400, "de": b"x" * 400}))
+    [passage] = same.passages("Nema ovde ničega. Opet nema ovde ničega.")
+    assert passage[5] and passage[3] == 0.5
+    apart = language.Classifier(language.Dictionaries({"sr": b"nema ovde nicega opet nema ovde nicega " * 9, "de": b"q" * 400}))
+    assert not apart.passages("nema ovde nicega opet nema ovde nicega. Opet nema ovde nicega opet nema.")[0][5]
