@@ -30,6 +30,8 @@ HEADER_PATTERNS = [
     (rf"(?iuU)(\d{{1,2}})\s*\.\s*([IVXLCDM]+|\d{{1,2}}|{_WORD})\.?\s*(\d{{2,4}})", (None, 1, 2, 3)),
 ]
 HEADER_LINES = 12
+#: Signs that are no part of a place's ends.
+PLACE_ENDS = " ,.;:()[]"
 
 
 def _number(c: Column) -> Column:
@@ -74,7 +76,7 @@ def header(c: Column | str) -> Column:
         def found(matched: Column) -> Column:
             # the parts are read from the match alone, which is short
             part = lambda g: F.regexp_extract(matched, pattern, g)
-            where = F.regexp_replace(part(place), r"(?U)^\s+|\s+$", "") if place else F.lit(None).cast("string")
+            where = F.trim(part(place), F.lit(PLACE_ENDS)) if place else F.lit(None).cast("string")
             valid = lambda number: F.when((matched != "") & number.isNotNull(), F.struct(where.alias("place"), iso(year(part(y)), number, _number(part(d))).alias("date_iso"), matched.alias("matched")))
             return once(month(part(m)), valid)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillgraph.dimensions import DROPPED_PARTS, DROPPED_SURFACES, FUSED_PAIRS, SPAN_LABELS, TAGGER_LABELS
 from quillgraph.functions.dates import date_spans
 from quillgraph.functions.spans import matches
-from quillgraph.functions.text import aliased, canonical, surface
+from quillgraph.functions.text import aliased, canonical, canonical_composed, surface
 
 DATE_MODEL = "rule-based-date-v1"
 KEY = ["letter_id", "text", "label", "start", "end", "model"]
@@ -23,9 +23,9 @@ class Extractor(Protocol):
 
 
 def date_mentions(letters: DataFrame) -> DataFrame:
-    """Mentions of dates by rule, score 1."""
+    """Mentions of dates by rule, score 1; the text is in label form, a date over a line end on one line."""
     found = letters.where("text is not null").select("letter_id", F.explode(date_spans("text")).alias("s"))
-    return found.select("letter_id", "s.text", F.lit("DATE").alias("label"), "s.start", "s.end", F.lit(1.0).alias("score"), F.lit(DATE_MODEL).alias("model"))
+    return found.select("letter_id", canonical_composed("s.text").alias("text"), F.lit("DATE").alias("label"), "s.start", "s.end", F.lit(1.0).alias("score"), F.lit(DATE_MODEL).alias("model"))
 
 
 def gazetteer_mentions(letters: DataFrame, dictionary: DataFrame, model: str = "gazetteer-v1") -> DataFrame:

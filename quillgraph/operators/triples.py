@@ -39,26 +39,26 @@ def keyed(label: Column) -> Column:
 
 
 def entities_of(letters: DataFrame, entities: DataFrame, mentions: DataFrame, config: Config) -> DataFrame:
-    """(key, type, uri, label, wikidata_uri, listed): every entity row listed, and those that letters or mentions name beside them.
+    """(key, type, uri, label, wikidata_uri, listed, at): every entity row listed, in the order of its ordinal, and those that letters or mentions name beside them.
 
     A listed entity keeps the label of its last row of a key for its URI; one that is not listed
     takes the label named first: senders, recipients, places of letters, then mentions.
     """
-    listed = entities.select(canonical_composed("label").alias("label"), F.upper(F.coalesce(F.nullif("type", F.lit("")), F.lit("MISC"))).alias("type"), F.nullif("wikidata_uri", F.lit("")).alias("wikidata_uri"), F.lit(True).alias("listed"), F.lit(0).cast("bigint").alias("at"), F.lit(0).alias("part")).where("label <> ''")
+    listed = entities.select(canonical_composed("label").alias("label"), F.upper(F.coalesce(F.nullif("type", F.lit("")), F.lit("MISC"))).alias("type"), F.nullif("wikidata_uri", F.lit("")).alias("wikidata_uri"), F.lit(True).alias("listed"), (F.col("ordinal") if "ordinal" in entities.columns else F.lit(0)).cast("bigint").alias("at")).where("label <> ''")
     part = lambda c, kind, k: letters.select(canonical_composed(c).alias("label"), F.lit(kind).alias("type"), F.lit(None).cast("string").alias("wikidata_uri"), F.lit(False).alias("listed"), F.lit(0).cast("bigint").alias("at"), F.lit(k).alias("part"))
     named = part("sender", "PER", 1).unionByName(part("recipient", "PER", 2)).unionByName(part("place_written", "LOC", 3))
     named = named.unionByName(mentions.select(canonical_composed("text").alias("label"), F.upper(F.coalesce(F.nullif("label", F.lit("")), F.lit("MISC"))).alias("type"), F.lit(None).cast("string").alias("wikidata_uri"), F.lit(False).alias("listed"), F.col("ordinal").cast("bigint").alias("at"), F.lit(4).alias("part")))
     # one row for each key before the anti join: names repeat a great deal
     first = named.where("label <> ''").groupBy(keyed(F.col("label")).alias("key"), "type").agg(F.min_by("label", F.struct("part", "at", "label")).alias("label"))
-    minted = first.join(listed.select(keyed(F.col("label")).alias("key"), "type").distinct(), ["key", "type"], "left_anti").select("label", "type", F.lit(None).cast("string").alias("wikidata_uri"), F.lit(False).alias("listed"))
-    every = listed.select("label", "type", "wikidata_uri", "listed").unionByName(minted)
+    minted = first.join(listed.select(keyed(F.col("label")).alias("key"), "type").distinct(), ["key", "type"], "left_anti").select("label", "type", F.lit(None).cast("string").alias("wikidata_uri"), F.lit(False).alias("listed"), F.lit(0).cast("bigint").alias("at"))
+    every = listed.unionByName(minted)
     uri = F.concat(F.lit(config.base_uri + "entity/"), uri_slug(F.concat_ws("_", "type", "label")))
-    return every.select(keyed(F.col("label")).alias("key"), "type", uri.alias("uri"), "label", "wikidata_uri", "listed")
+    return every.select(keyed(F.col("label")).alias("key"), "type", uri.alias("uri"), "label", "wikidata_uri", "listed", "at")
 
 
 def entity_index(known: DataFrame) -> DataFrame:
-    """(key, type, uri): one URI for each key."""
-    return known.groupBy("key", "type").agg(F.max_by("uri", "label").alias("uri"))
+    """(key, type, uri): one URI for each key, that of its last row."""
+    return known.groupBy("key", "type").agg(F.max_by("uri", F.struct("at", "label")).alias("uri"))
 
 
 def triples(letters: DataFrame, entities: DataFrame, mentions: DataFrame, config: Config | None = None) -> DataFrame:

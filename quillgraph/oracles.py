@@ -78,7 +78,7 @@ _dates = [rf"(?i)\b\d{{1,2}}{SP}*\.{SP}*(?:[IVXLCDM]+|\d{{1,2}})(?:{SP}*\.{SP}*|
 _ascii = "translate(text, '０１２３４５６７８９', '0123456789')"
 _texts = f"(SELECT letter_id, text FROM {L} WHERE text IS NOT NULL)"
 _found = " UNION ".join(f"SELECT * FROM {spans(_texts, 'letter_id', p, _ascii)}" for p in _dates)
-DATES = f"""(WITH f AS ({_found}) SELECT letter_id, text, 'DATE' AS label, CAST("start" AS INT) AS "start", CAST("end" AS INT) AS "end", 1.0::DOUBLE AS score, 'rule-based-date-v1' AS model FROM f
+DATES = f"""(WITH f AS ({_found}) SELECT letter_id, {canonical('text')} AS text, 'DATE' AS label, CAST("start" AS INT) AS "start", CAST("end" AS INT) AS "end", 1.0::DOUBLE AS score, 'rule-based-date-v1' AS model FROM f
     WHERE NOT EXISTS (SELECT 1 FROM f o WHERE o.letter_id = f.letter_id AND o."start" <= f."start" AND o."end" >= f."end" AND (o."start" <> f."start" OR o."end" <> f."end")))"""
 
 _months = "CASE " + " ".join(f"WHEN lower(trim(m, ' .,')) = '{k}' THEN {v}" for k, v in MONTHS.items()) + " END"
@@ -92,7 +92,7 @@ _heads = [
 ]
 _nar = lambda x: f"translate({x}, '０１２３４５６７８９', '0123456789')"
 _tries = " UNION ALL ".join(
-    f"SELECT letter_id, {k} AS k, {strip(f'regexp_extract(head, {q(p)}, {g[0]})') if g[0] else 'NULL'} AS place, {_nar(f'regexp_extract(head, {q(p)}, {g[1]})')} AS d, {_nar(f'regexp_extract(head, {q(p)}, {g[2]})')} AS m, {_nar(f'regexp_extract(head, {q(p)}, {g[3]})')} AS y, regexp_extract(head, {q(p)}, 0) AS matched FROM heads"
+    f"SELECT letter_id, {k} AS k, {f'''trim(regexp_extract(head, {q(p)}, {g[0]}), ' ,.;:()[]')''' if g[0] else 'NULL'} AS place, {_nar(f'regexp_extract(head, {q(p)}, {g[1]})')} AS d, {_nar(f'regexp_extract(head, {q(p)}, {g[2]})')} AS m, {_nar(f'regexp_extract(head, {q(p)}, {g[3]})')} AS y, regexp_extract(head, {q(p)}, 0) AS matched FROM heads"
     for k, (p, g) in enumerate(_heads)
 )
 HEADS = f"""(WITH heads AS (SELECT letter_id, array_to_string(list_slice(string_split(coalesce(text, ''), chr(10)), 1, 12), chr(10)) AS head FROM {L}),
@@ -123,12 +123,12 @@ _type_or = lambda c: f"upper(coalesce(nullif({c}, ''), 'MISC'))"
 GRAPH = f"""WITH lt AS (SELECT *, {canonical('place_written')} AS pl, {canonical('sender')} AS se, {canonical('recipient')} AS re, '{BASE}letter/' || {uri_slug("coalesce(letter_id, 'letter')")} AS letter FROM {L}),
     mt0 AS (SELECT *, {canonical('text')} AS lab, {_type_or('label')} AS type FROM ner_entities),
     mt1 AS (SELECT * FROM mt0 WHERE lab <> ''),
-    listed AS (SELECT {canonical('label')} AS label, {_type_or('type')} AS type, nullif(wikidata_uri, '') AS wuri FROM ner_nel_entities WHERE {canonical('label')} <> ''),
+    listed AS (SELECT {canonical('label')} AS label, {_type_or('type')} AS type, nullif(wikidata_uri, '') AS wuri, ordinal FROM ner_nel_entities WHERE {canonical('label')} <> ''),
     named AS (SELECT se AS label, 'PER' AS type, 1 AS part, 0 AS nth FROM lt UNION ALL SELECT re, 'PER', 2, 0 FROM lt UNION ALL SELECT pl, 'LOC', 3, 0 FROM lt UNION ALL SELECT lab, type, 4, ordinal FROM mt1),
     minted AS (SELECT first(label ORDER BY part, nth, label) AS label, type, lower(label) AS key FROM named WHERE label <> '' GROUP BY lower(label), type),
-    every AS (SELECT label, type, wuri FROM listed UNION ALL SELECT label, type, NULL FROM minted m WHERE NOT EXISTS (SELECT 1 FROM listed l WHERE lower(l.label) = m.key AND l.type = m.type)),
+    every AS (SELECT label, type, wuri, ordinal FROM listed UNION ALL SELECT label, type, NULL, 0 FROM minted m WHERE NOT EXISTS (SELECT 1 FROM listed l WHERE lower(l.label) = m.key AND l.type = m.type)),
     known AS (SELECT *, lower(label) AS key, '{BASE}entity/' || {uri_slug("type || '_' || label")} AS uri FROM (SELECT DISTINCT * FROM every)),
-    idx AS (SELECT key, type, first(uri ORDER BY label DESC) AS uri FROM known GROUP BY key, type),
+    idx AS (SELECT key, type, last(uri ORDER BY ordinal) AS uri FROM known GROUP BY key, type),
     ml AS (SELECT m.*, i.uri, '{BASE}letter/' || {uri_slug("coalesce(m.letter_id, 'letter')")} AS letter FROM mt1 m JOIN idx i ON lower(m.lab) = i.key AND m.type = i.type),
     t_mentions AS (SELECT DISTINCT letter, uri FROM ml),
     t_label AS (SELECT DISTINCT uri, label FROM known),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -21,7 +22,10 @@ def ship(spark: SparkSession) -> None:
     if app in _shipped:
         return
     package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="quillgraph-")) / "quillgraph.zip"
+    # the driver's own copy, from which Spark sends it; it goes when the driver ends
+    folder = tempfile.mkdtemp(prefix="quillgraph-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "quillgraph.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
@@ -30,10 +34,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where tables between steps are written: the folder the cluster names in spark.checkpoint.dir, one of this machine's only where that is unset, as in tests."""
+    """Where tables between steps are written: the folder the cluster names in spark.checkpoint.dir; without it one of this machine's, only where all runs on this machine, as in tests."""
     app = spark.sparkContext.applicationId
     if app not in _own:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillgraph-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
+        base = base or tempfile.mkdtemp(prefix="quillgraph-")
         _own[app] = f"{base.rstrip('/')}/quillgraph-{app}-{uuid.uuid4().hex[:8]}"
         atexit.register(_drop, spark, _own[app])
     return _own[app]
