@@ -11,10 +11,10 @@ from quillgraph.config import Config
 from quillgraph.functions import dates, text
 from quillgraph.functions.spans import matches
 from quillgraph.operators import evaluation, letters, linking, mentions, network, segment
-from quillgraph.operators.triples import triples
+from quillgraph.operators.triples import Sources
 from quillgraph.oracles import ORACLES  # noqa: F401
 from quillgraph.plans import graph_queries
-from quillgraph.session import checkpointed, read_table
+from quillgraph.session import read_table
 from quillgraph.sources import pagexml, sinks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,13 +38,17 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("letter_id", "source_page_files", "source_pages", F.posexplode(F.split("text", "\n")).alias("seq", "text"))
 
 
+def _sources(spark: SparkSession, folder: str) -> Sources:
+    return Sources(_letters(spark, folder), read_table(spark, folder, "ner_nel_entities"), read_table(spark, folder, "ner_entities"), CONFIG)
+
+
 def _graph(spark: SparkSession, folder: str) -> DataFrame:
-    return triples(_letters(spark, folder), read_table(spark, folder, "ner_nel_entities"), read_table(spark, folder, "ner_entities"), CONFIG)
+    return _sources(spark, folder).triples()
 
 
-def _stored(spark: SparkSession, folder: str) -> graph_queries.Graph:
-    """The graph written once, by predicate: a pattern's scans read only their own predicates."""
-    return graph_queries.Graph(checkpointed(_graph(spark, folder), "p"), CONFIG)
+def _by_predicate(spark: SparkSession, folder: str) -> graph_queries.Graph:
+    """The graph by predicate: a pattern makes only the triples it asks for."""
+    return graph_queries.Graph(_sources(spark, folder))
 
 
 @query
@@ -257,22 +261,22 @@ def jsonld_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q_letters_by_date(spark: SparkSession, folder: str) -> DataFrame:
-    return graph_queries.letters_by_date(_stored(spark, folder))
+    return graph_queries.letters_by_date(_by_predicate(spark, folder))
 
 
 @query
 def q_mentioned_persons(spark: SparkSession, folder: str) -> DataFrame:
-    return graph_queries.mentioned_persons(_stored(spark, folder))
+    return graph_queries.mentioned_persons(_by_predicate(spark, folder))
 
 
 @query
 def q_letters_places(spark: SparkSession, folder: str) -> DataFrame:
-    return graph_queries.letters_mentioning_places(_stored(spark, folder))
+    return graph_queries.letters_mentioning_places(_by_predicate(spark, folder))
 
 
 @query
 def q_entity_network(spark: SparkSession, folder: str) -> DataFrame:
-    return graph_queries.entity_network(_stored(spark, folder))
+    return graph_queries.entity_network(_by_predicate(spark, folder))
 
 
 @query

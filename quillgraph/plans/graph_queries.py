@@ -6,20 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.config import Config
-from quillgraph.operators.triples import DCTERMS, RDF_TYPE, RDFS_LABEL, SCHEMA
+from quillgraph.operators.triples import DCTERMS, RDF_TYPE, RDFS_LABEL, SCHEMA, Sources
 
 
 class Graph:
-    """The triples by predicate; a pattern reads only its predicates, filtered before any join."""
+    """The triples by predicate; a pattern reads only its predicates, filtered before any join.
 
-    def __init__(self, triples: DataFrame, config: Config | None = None):
-        self.triples, self.config = triples, config or Config()
+    Of a relation of triples the predicates are filtered; of ``Sources`` only those triples are
+    made that a pattern asks for.
+    """
 
-    def of(self, predicate: str, s: str, o: str) -> DataFrame:
-        return self.triples.where(F.col("p") == predicate).select(F.col("s").alias(s), F.col("o").alias(o))
+    def __init__(self, triples: DataFrame | Sources, config: Config | None = None):
+        self.source, self.config = triples, config or (triples.config if isinstance(triples, Sources) else Config())
+
+    @property
+    def triples(self) -> DataFrame:
+        return self.source.triples() if isinstance(self.source, Sources) else self.source
+
+    def rows(self, predicate: str | None = None, o: str | None = None) -> DataFrame:
+        """Triples of a predicate and an object, where given."""
+        if isinstance(self.source, Sources):
+            return self.source.triples(None if predicate is None else [predicate], o)
+        found = self.source if predicate is None else self.source.where(F.col("p") == predicate)
+        return found if o is None else found.where(F.col("o") == o)
+
+    def of(self, predicate: str, s: str, o: str, subject: str | None = None) -> DataFrame:
+        """Subjects and objects of a predicate; ``subject`` says that only entities, letters or mentions are of use."""
+        found = self.source.triples([predicate], None, subject) if isinstance(self.source, Sources) else self.rows(predicate)
+        return found.select(F.col("s").alias(s), F.col("o").alias(o))
 
     def typed(self, kind: str, s: str) -> DataFrame:
-        return self.triples.where((F.col("p") == RDF_TYPE) & (F.col("o") == kind)).select(F.col("s").alias(s))
+        return self.rows(RDF_TYPE, kind).select(F.col("s").alias(s))
 
     @property
     def letters(self) -> DataFrame:
@@ -34,8 +51,8 @@ class Graph:
 
 def letters_by_date(g: Graph) -> DataFrame:
     """(letter, date, place_label, recipient_label): every letter with what is known of it, undated first."""
-    place = g.of(SCHEMA + "locationCreated", "letter", "e").join(g.of(RDFS_LABEL, "e", "place_label"), "e").drop("e")
-    recipient = g.of(SCHEMA + "recipient", "letter", "e").join(g.of(RDFS_LABEL, "e", "recipient_label"), "e").drop("e")
+    place = g.of(SCHEMA + "locationCreated", "letter", "e").join(g.of(RDFS_LABEL, "e", "place_label", "entity"), "e").drop("e")
+    recipient = g.of(SCHEMA + "recipient", "letter", "e").join(g.of(RDFS_LABEL, "e", "recipient_label", "entity"), "e").drop("e")
     rows = g.letters.join(g.of(SCHEMA + "dateSent", "letter", "date"), "letter", "left").join(place, "letter", "left").join(recipient, "letter", "left")
     return rows.select("letter", "date", "place_label", "recipient_label").orderBy(F.asc_nulls_first("date"), "letter", "place_label", "recipient_label")
 
@@ -43,19 +60,19 @@ def letters_by_date(g: Graph) -> DataFrame:
 def mentioned_persons(g: Graph) -> DataFrame:
     """(person, label, mentions): persons by the number of letters that mention them."""
     pairs = g.letters.join(g.of(SCHEMA + "mentions", "letter", "person"), "letter").groupBy("person").agg(F.count("letter").alias("mentions"))
-    rows = pairs.join(g.typed(SCHEMA + "Person", "person"), "person", "left_semi").join(g.of(RDFS_LABEL, "person", "label"), "person")
+    rows = pairs.join(g.typed(SCHEMA + "Person", "person"), "person", "left_semi").join(g.of(RDFS_LABEL, "person", "label", "entity"), "person")
     return rows.select("person", "label", "mentions").orderBy(F.desc("mentions"), "label", "person")
 
 
 def letters_mentioning_places(g: Graph) -> DataFrame:
     """(letter, date, written_place_label, mentioned_place_label)."""
-    mentioned = g.of(SCHEMA + "mentions", "letter", "place").join(g.typed(SCHEMA + "Place", "place"), "place", "left_semi").join(g.of(RDFS_LABEL, "place", "mentioned_place_label"), "place").drop("place")
-    written = g.of(SCHEMA + "locationCreated", "letter", "e").join(g.of(RDFS_LABEL, "e", "written_place_label"), "e").drop("e")
+    mentioned = g.of(SCHEMA + "mentions", "letter", "place").join(g.typed(SCHEMA + "Place", "place"), "place", "left_semi").join(g.of(RDFS_LABEL, "place", "mentioned_place_label", "entity"), "place").drop("place")
+    written = g.of(SCHEMA + "locationCreated", "letter", "e").join(g.of(RDFS_LABEL, "e", "written_place_label", "entity"), "e").drop("e")
     rows = g.letters.join(mentioned, "letter").join(g.of(SCHEMA + "dateSent", "letter", "date"), "letter", "left").join(written, "letter", "left")
     return rows.select("letter", "date", "written_place_label", "mentioned_place_label").orderBy(F.asc_nulls_first("date"), "letter", "mentioned_place_label")
 
 
 def entity_network(g: Graph) -> DataFrame:
     """(letter, entity, label, type) of every mention in a letter."""
-    rows = g.letters.join(g.of(SCHEMA + "mentions", "letter", "entity"), "letter").join(g.of(RDFS_LABEL, "entity", "label"), "entity").join(g.of(DCTERMS + "type", "entity", "type"), "entity")
+    rows = g.letters.join(g.of(SCHEMA + "mentions", "letter", "entity"), "letter").join(g.of(RDFS_LABEL, "entity", "label", "entity"), "entity").join(g.of(DCTERMS + "type", "entity", "type", "entity"), "entity")
     return rows.select("letter", "entity", "label", "type").orderBy("letter", "type", "label")
