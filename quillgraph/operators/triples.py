@@ -128,7 +128,8 @@ class Sources:
         kind = F.coalesce(F.try_element_at(classes, F.col("type")), F.lit(SCHEMA + "Thing"))
         items = [_iri(RDF_TYPE, kind), _text(RDFS_LABEL, F.col("label"), lang=self.config.language), _text(DCTERMS + "type", F.col("type")), _iri(SKOS + "exactMatch", F.col("wikidata_uri")), _iri(DCTERMS + "source", F.col("wikidata_uri"))]
         items = wanted.of("entity", items)
-        if not items or (wanted.o is not None and not wanted.o.startswith(SCHEMA)):
+        # classes of entities are of one vocabulary
+        if not items or (wanted.o is not None and {i.p for i in items} == {RDF_TYPE} and not wanted.o.startswith(SCHEMA)):
             return None
         return _emit(self.known, F.col("uri"), items).dropDuplicates(KEY)
 

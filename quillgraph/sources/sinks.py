@@ -1,10 +1,12 @@
-"""Writers: CSV, N-Triples, JSON-LD, Turtle and network pages."""
+"""Writers: CSV, lines by tabs, N-Triples, JSON-LD and network pages; Turtle is in ``turtle``."""
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").options(header="true", escape='"', quoteAll="false", nullValue="", emptyValue="").csv(path)
 
 
-def _quoted(c: Column) -> Column:
+def quoted(c: Column) -> Column:
     for sign, written in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         c = F.replace(c, F.lit(sign), F.lit(written))
     return F.concat(F.lit('"'), c, F.lit('"'))
@@ -27,7 +29,7 @@ def _quoted(c: Column) -> Column:
 def ntriples(triples: DataFrame) -> DataFrame:
     """(value): a line of N-Triples for each triple, written wherever the triple is."""
     tail = F.when(F.col("lang").isNotNull(), F.concat(F.lit("@"), "lang")).when(F.col("datatype").isNotNull(), F.concat(F.lit("^^<"), "datatype", F.lit(">"))).otherwise("")
-    thing = F.when(F.col("o_kind") == "iri", F.concat(F.lit("<"), "o", F.lit(">"))).otherwise(F.concat(_quoted(F.col("o")), tail))
+    thing = F.when(F.col("o_kind") == "iri", F.concat(F.lit("<"), "o", F.lit(">"))).otherwise(F.concat(quoted(F.col("o")), tail))
     return triples.select(F.concat(F.lit("<"), "s", F.lit("> <"), "p", F.lit("> "), thing, F.lit(" .")).alias("value"))
 
 
@@ -60,15 +62,30 @@ def jsonld_nodes(triples: DataFrame) -> DataFrame:
 
 
 def write_jsonld(triples: DataFrame, path: str) -> None:
-    """One object a line; the list of them is the expanded document."""
-    jsonld_nodes(triples).select("node").write.mode("overwrite").text(path)
+    """The expanded document: files that are each one array of objects."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = lambda *x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["value"])
+        sign = "["
+        for batch in batches:
+            for node in batch.column(0).to_pylist():
+                yield rows(sign + node)
+                sign = ","
+        yield rows("]" if sign == "," else "[]")
 
-def turtle(triples: DataFrame) -> DataFrame:
-    """(value): a block of Turtle for each subject."""
-    lines = ntriples(triples).select(F.regexp_extract("value", r"^(<[^>]*>) (.*) \.$", 1).alias("s"), F.regexp_extract("value", r"^(<[^>]*>) (.*) \.$", 2).alias("po"))
-    blocks = lines.groupBy("s").agg(F.array_sort(F.collect_list("po")).alias("pos"))
-    return blocks.select(F.concat("s", F.lit(" "), F.array_join("pos", " ;\n    "), F.lit(" .")).alias("value"))
+    jsonld_nodes(triples).select("node").mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
+def tsv(rows: DataFrame) -> DataFrame:
+    """(value): a line for each row, columns by tabs, a missing value as None; tabs and line ends in values are blanks."""
+    plain = [F.coalesce(F.regexp_replace(F.col(f"`{c}`").cast("string"), r"[\t\r\n]", " "), F.lit("None")) for c in rows.columns]
+    return rows.select(F.concat_ws("\t", *plain).alias("value"))
+
+
+def write_tsv(rows: DataFrame, path: str) -> int:
+    """Rows as lines in their order, with their number as the result."""
+    tsv(rows).write.mode("overwrite").text(path)
+    return rows.sparkSession.read.text(path).count()
 
 
 def network_page(nodes: DataFrame, edges: DataFrame, path: str, most: int = 5000) -> None:
@@ -77,12 +94,16 @@ def network_page(nodes: DataFrame, edges: DataFrame, path: str, most: int = 5000
     if len(drawn) > most:
         raise ValueError(f"a network of more than {most} nodes can't be drawn; filter it first")
     at = {r["node"]: {"id": r["node"], "type": NODE_TYPES.get(r["node_type"], "Other"), "colour": NODE_COLOURS.get(r["node_type"], "#dddddd"), "size": r["html_size"]} for r in drawn}
-    links = [{"a": r["source"], "b": r["target"], "w": r["weight"]} for r in edges.collect() if r["source"] in at and r["target"] in at]
+    # edges meet the nodes that are drawn before any is collected; of two nodes one edge is drawn, so their number is bounded by that of the nodes
+    listed = nodes.sparkSession.createDataFrame([(n,) for n in at], "node string") if at else nodes.select("node")
+    inside = edges.join(F.broadcast(listed.withColumnRenamed("node", "source")), "source").join(F.broadcast(listed.withColumnRenamed("node", "target")), "target")
+    links = [{"a": r["source"], "b": r["target"], "w": r["w"]} for r in inside.groupBy("source", "target").agg(F.max("weight").alias("w")).collect()]
     data = json.dumps({"nodes": list(at.values()), "links": links}, ensure_ascii=False).replace("</", "<\\/")
     Path(path).write_text(
         "<!doctype html><meta charset='utf-8'><title>Network</title><canvas id='c' width='1200' height='900'></canvas><script>const d=" + data + ";"
         "const n=d.nodes,r=380;n.forEach((x,i)=>{const t=2*Math.PI*i/n.length;x.x=600+r*Math.cos(t);x.y=450+r*Math.sin(t)});const by=Object.fromEntries(n.map(x=>[x.id,x]));"
-        "const g=document.getElementById('c').getContext('2d');d.links.forEach(l=>{g.lineWidth=Math.min(3,Math.max(.6,l.w));g.strokeStyle='#9996';g.beginPath();g.moveTo(by[l.a].x,by[l.a].y);g.lineTo(by[l.b].x,by[l.b].y);g.stroke()});"
+        "const c=document.getElementById('c');const g=c.getContext('2d');d.links.forEach(l=>{g.lineWidth=Math.min(3,Math.max(.6,l.w));g.strokeStyle='#9996';g.beginPath();g.moveTo(by[l.a].x,by[l.a].y);g.lineTo(by[l.b].x,by[l.b].y);g.stroke()});"
+        "const at=e=>n.find(x=>Math.hypot(x.x-e.offsetX,x.y-e.offsetY)<x.size/2);c.onmousemove=e=>{const x=at(e);c.title=x?x.id+' ('+x.type+'), '+d.links.filter(l=>l.a==x.id||l.b==x.id).length+' links':''};"
         "n.forEach(x=>{g.fillStyle=x.colour;g.beginPath();g.arc(x.x,x.y,x.size/4,0,7);g.fill();g.fillStyle='#222';g.fillText(x.id,x.x+8,x.y)})</script>",
         encoding="utf-8",
     )
