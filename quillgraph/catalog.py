@@ -111,14 +111,24 @@ def address_lookahead(spark: SparkSession, folder: str) -> DataFrame:
     return segment.address_follows(_lines(spark, folder), ["letter_id"]).where("address_follows").select("letter_id", "seq", "text")
 
 
-@query
-def segment_letters(spark: SparkSession, folder: str) -> DataFrame:
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
     """Letters that share page files are cut apart again; a page file's lines are one sequence."""
     lines = _lines(spark, folder).withColumn("page_file", F.col("source_page_files")).withColumn("page_number", F.split("source_pages", ";")[0].cast("int"))
     order = Window.partitionBy("page_file").orderBy("letter_id", "seq")
     numbered = lines.withColumn("seq", F.row_number().over(order).cast("bigint"))
-    cut = segment.segments(numbered, "page_file", segment.header_pattern(place_pattern=PLACE))
-    return cut.select("page_file", "letter_no", F.array_join("source_page_files", ";").alias("source_page_files"), "raw_header", "text")
+    return segment.segments(numbered, "page_file", segment.header_pattern(place_pattern=PLACE))
+
+
+@query
+def segment_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every letter found in the lines of a page file."""
+    return _segments(spark, folder).select("page_file", "letter_no", F.array_join("source_page_files", ";").alias("source_page_files"), "raw_header", "text")
+
+
+@query
+def stored_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """The letters found, with ids that count through the page files, as they are stored."""
+    return segment.letters(_segments(spark, folder), "page_file").select("letter_id", "source_page_files", "source_pages", "raw_header", "text")
 
 
 @query
@@ -206,6 +216,20 @@ def gazetteer_mentions(spark: SparkSession, folder: str) -> DataFrame:
     return mentions.gazetteer_mentions(_letters(spark, folder), read_table(spark, folder, "manual_links").where("type = 'LOC'"))
 
 
+@query
+def tagger_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    """Mentions as a tagger gives them, read again over the letters' text."""
+    raw = read_table(spark, folder, "ner_entities").select("letter_id", "ordinal", F.col("text").alias("word"), F.col("label").alias("tag"), "start", "end", "score")
+    return mentions.tagger_mentions(raw, _letters(spark, folder), CONFIG.min_score, "tagger-v1").select("ordinal", "letter_id", "text", "label", "start", "end", "score", "model")
+
+
+@query
+def recognised_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    """Mentions of all extractors that need no model, each once."""
+    places = read_table(spark, folder, "manual_links").where("type = 'LOC'")
+    return mentions.recognised(_letters(spark, folder), [mentions.date_mentions, lambda x: mentions.gazetteer_mentions(x, places)])
+
+
 @query
 def clean_mentions(spark: SparkSession, folder: str) -> DataFrame:
     """The whole cleaning of mentions that have offsets and a letter."""

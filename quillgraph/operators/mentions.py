@@ -74,20 +74,23 @@ def merged_pieces(mentions: DataFrame, gap: int = 2) -> DataFrame:
 
     A piece beginning with ## joins if letter, label and model are the same and it starts at
     most ``gap`` after the run's end, which is the greatest end so far; a date breaks a run
-    and stays. The score is the least. Mentions of one letter are folded as one sorted array.
+    and stays. The score is the least. Ends are not before starts. Rows of a letter are in one
+    order; only the pieces of one run are gathered.
     """
-    item = "struct<start:int,end:int,ordinal:bigint,text:string,label:string,score:double,model:string>"
-    sorted_ = F.array_sort(F.collect_list(F.struct("start", "end", "ordinal", "text", "label", "score", "model")))
-
-    def step(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        joins = F.coalesce((F.size(done) > 0) & x["text"].startswith("##") & (x["label"] != "DATE") & (last["label"] == x["label"]) & last["model"].eqNullSafe(x["model"]) & (x["start"] <= last["end"] + gap), F.lit(False))
-        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), last["ordinal"].alias("ordinal"), F.concat(last["text"], F.regexp_replace(x["text"], "^##", "")).alias("text"), last["label"].alias("label"), F.least(last["score"], x["score"]).alias("score"), last["model"].alias("model"))
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(both))).otherwise(F.concat(done, F.array(x)))
-
-    runs = mentions.where("letter_id is not null").groupBy("letter_id").agg(sorted_.alias("all"))
-    merged = runs.select("letter_id", F.explode(F.aggregate("all", F.expr(f"cast(array() as array<{item}>)"), step)).alias("m"))
-    return merged.select("letter_id", "m.ordinal", "m.text", "m.label", "m.start", "m.end", "m.score", "m.model")
+    rows = mentions.where("letter_id is not null")
+    letter = Window.partitionBy("letter_id").orderBy("start", "end", "ordinal", "text", "label", "score", "model")
+    no = F.lit(False)
+    # what may join what is right before it; from the last row that may not, the greatest end is the run's, as a run that breaks by its gap ends before all that follows
+    may = F.coalesce(F.col("text").startswith("##") & (F.col("label") != "DATE") & (F.lag("label").over(letter) == F.col("label")) & F.lag("model").over(letter).eqNullSafe(F.col("model")) & F.lag(F.lit(True)).over(letter), no)
+    rows = rows.withColumn("_may", may).withColumn("_block", F.sum(F.when(F.col("_may"), 0).otherwise(1)).over(letter))
+    before = Window.partitionBy("letter_id", "_block").orderBy("start", "end", "ordinal", "text", "label", "score", "model").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_joins", F.coalesce(F.col("_may") & (F.col("start") <= F.max("end").over(before) + gap), no))
+    rows = rows.withColumn("_at", F.row_number().over(letter)).withColumn("_run", F.sum(F.when(F.col("_joins"), 0).otherwise(1)).over(letter))
+    parts = F.array_sort(F.collect_list(F.struct("_at", "text")))
+    text = F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x["text"]).otherwise(F.regexp_replace(x["text"], "^##", ""))), "")
+    first = lambda c: F.min_by(c, "_at").alias(c)
+    # a letter's rows are where the order put them
+    return rows.groupBy("letter_id", "_run").agg(first("ordinal"), F.when(F.max(F.col("text").isNotNull()), text).alias("text"), first("label"), first("start"), F.max("end").alias("end"), F.min("score").alias("score"), first("model")).drop("_run")
 
 
 def without_contained_dates(mentions: DataFrame) -> DataFrame:

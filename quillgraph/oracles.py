@@ -6,7 +6,7 @@ Regular expressions there know ASCII classes only, so spaces and digits of other
 from __future__ import annotations
 
 from quillgraph.dimensions import DROPPED_PARTS, DROPPED_SURFACES, GENITIVE_MONTHS, LINE_START_PLACES, MONTHS, PLACE_FORMS, SCHEMA_TYPES, TEXT_MONTHS
-from quillgraph.operators.segment import ADDRESS
+from quillgraph.operators.segment import ADDRESS, SALUTATIONS, SIGNATURES
 
 SP = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 DG = "[0-9０-９]"
@@ -216,7 +216,33 @@ RECIPIENTS = f"""WITH a AS (SELECT letter_id, coalesce(text, '') AS text, string
     SELECT letter_id, coalesce(nullif(CASE WHEN block IS NOT NULL THEN coalesce(longest, CASE WHEN plain IS NOT NULL THEN {canonical('plain')} ELSE '' END) END, ''), nullif(CASE WHEN greets THEN CASE WHEN len(string_split(tail, ' ')) >= 2 AND NOT regexp_matches(tail, '(?i)gospodic|gospodj|prijatelj|vojko') THEN tail ELSE near END END, ''), 'unknown') AS recipient FROM d"""
 _loc = "SELECT letter_id, list(translate(text, '–—-', '') ORDER BY ordinal) AS l FROM ner_entities WHERE label = 'LOC' AND letter_id IS NOT NULL AND text IS NOT NULL GROUP BY 1"
 
+_joined = f"regexp_replace(array_to_string(list_filter(c, lambda x: {strip('x')} <> ''), chr(10)), {q(f'([A-Za-zÀ-žА-Яа-яЉЊЂЋЏљњђћџ]){SP}*[-‐‑]{SP}*' + chr(92) + 'n' + f'{SP}*([A-Za-zÀ-žА-Яа-яЉЊЂЋЏљњђћџ])')}, '\\1\\2', 'g')"
+_letter_text = light(f"nfc_normalize({_joined})")
+_body = rf"(?i)(^|[^\p{{L}}\p{{N}}_])({'|'.join(SALUTATIONS + SIGNATURES)})([^\p{{L}}\p{{N}}_]|$)"
+# a line begins a letter by what the lines before it in its letter are, so lines follow each other
+SEGMENTS = f"""WITH RECURSIVE n AS (SELECT coalesce(source_page_files, chr(0)) AS pf, try_cast(string_split(source_pages, ';')[1] AS INT) AS page, letter_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS seq FROM {L} WHERE text IS NOT NULL),
+    o AS (SELECT pf, page, text, row_number() OVER (PARTITION BY pf ORDER BY letter_id, seq) AS i FROM n),
+    f AS (SELECT *, length({light('text')}) <= 160 AND regexp_matches({light('text')}, {q(_header)}) AS head, coalesce(max(regexp_matches({light('text')}, {q(_address)})::INT) OVER (PARTITION BY pf ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), 0) = 1 AS follows FROM o),
+    r AS (SELECT pf, i, [text] AS c, [page] AS pages, 1 AS seg FROM f WHERE i = 1
+        UNION ALL SELECT pf, i, CASE WHEN s THEN [text] ELSE list_append(c, text) END, CASE WHEN s THEN [page] ELSE list_append(pages, page) END, seg + s::INT FROM (
+            SELECT f.pf, f.i, f.text, f.page, r.c, r.pages, r.seg, f.head AND NOT (len(r.c) <= 3 AND NOT b) AND NOT (b AND f.follows) AS s FROM (SELECT *, regexp_matches({_letter_text}, {q(_body)}) AS b FROM r) r JOIN f ON f.pf = r.pf AND f.i = r.i + 1)),
+    g AS (SELECT pf, seg, max_by(c, i) AS c, max_by(pages, i) AS pages FROM r GROUP BY 1, 2),
+    t AS (SELECT *, {_letter_text} AS text FROM g),
+    k AS (SELECT nullif(pf, chr(0)) AS page_file, row_number() OVER (PARTITION BY pf ORDER BY seg) AS letter_no, pages, array_to_string(list_filter(c[1:8], lambda x: {strip('x')} <> ''), ' | ') AS raw_header, text FROM t WHERE text <> '')"""
+JSONLD = f"""SELECT s, '{{"@id": "' || s || '", ' || string_agg(m, ', ' ORDER BY m) || '}}' AS node FROM (
+    SELECT s, '"' || p || '": [' || string_agg(v, ', ' ORDER BY v) || ']' AS m FROM (
+        SELECT s, CASE WHEN p = 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type' THEN '@type' ELSE p END AS p, CASE WHEN p = 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type' THEN '"' || rest[2:-2] || '"' WHEN rest[1] = '<' THEN '{{"@id":"' || rest[2:-2] || '"}}'
+            WHEN tail[1:1] = '@' THEN '{{"@language":"' || tail[2:] || '","@value":' || said || '}}' WHEN tail[1:1] = '^' THEN '{{"@type":"' || tail[4:-2] || '","@value":' || said || '}}' ELSE '{{"@value":' || said || '}}' END AS v FROM (
+            SELECT *, regexp_extract(rest, '(?s)^(".*")[^"]*$', 1) AS said, regexp_extract(rest, '(?s)^".*"([^"]*)$', 1) AS tail FROM (
+                SELECT regexp_extract(value, '^<([^>]*)>', 1) AS s, regexp_extract(value, '^<[^>]*> <([^>]*)>', 1) AS p, regexp_extract(value, '(?s)^<[^>]*> <[^>]*> (.*) \\.$', 1) AS rest FROM ({_lines()}))))
+    GROUP BY s, p) GROUP BY s"""
+
 ORACLES: dict[str, str] = {
+    "segment_letters": SEGMENTS + " SELECT page_file, CAST(letter_no AS INT) AS letter_no, coalesce(page_file, '') AS source_page_files, raw_header, text FROM k",
+    "stored_letters": SEGMENTS + " SELECT printf('letter_%04d', row_number() OVER (ORDER BY page_file NULLS FIRST, letter_no)) AS letter_id, coalesce(page_file, '') AS source_page_files, array_to_string(list_sort(list_transform(list_distinct(list_filter(pages, lambda x: x IS NOT NULL)), lambda x: x::VARCHAR)), ';') AS source_pages, raw_header, text FROM k",
+    "jsonld_nodes": JSONLD,
+    "tagger_mentions": f"SELECT * FROM (SELECT ordinal, letter_id, {canonical("nfc_normalize(CASE WHEN m.\"start\" >= 0 AND m.\"end\" > m.\"start\" AND m.\"end\" <= length(l.t) THEN substring(l.t, m.\"start\" + 1, m.\"end\" - m.\"start\") ELSE replace(m.text, '##', '') END)")} AS text, upper(coalesce(nullif(label, ''), 'MISC')) AS label, \"start\", \"end\", score, 'tagger-v1' AS model FROM ner_entities m LEFT JOIN (SELECT letter_id, text AS t FROM {L}) l USING (letter_id)) WHERE length(text) >= 2 AND score >= 0.6",
+    "recognised_mentions": f"""SELECT * FROM {DATES} UNION SELECT letter_id, w.text, 'LOC', CAST(w."start" AS INT), CAST(w."end" AS INT), 1.0::DOUBLE, 'gazetteer-v1' FROM {spans(_texts, 'letter_id', '[' + chr(92) + 'p{L}' + chr(92) + 'p{M}]+')} w JOIN (SELECT DISTINCT label FROM manual_links WHERE type = 'LOC') d ON d.label = w.text""",
     "text_normalize": f"SELECT letter_id, {light('nfc_normalize(text)')} AS text_norm FROM letters_fixed",
     "dehyphenate": f"SELECT letter_id, regexp_replace(coalesce(text, ''), {q(f'([A-Za-zÀ-žА-Яа-яЉЊЂЋЏљњђћџ]){SP}*[-‐‑]{SP}*' + chr(92) + 'n' + f'{SP}*([A-Za-zÀ-žА-Яа-яЉЊЂЋЏљњђћџ])')}, '\\1\\2', 'g') AS text_joined FROM letters_fixed",
     "canonical_label": f"SELECT ordinal, {canonical('nfc_normalize(text)')} AS label, {surface('text')} AS surface, {safe('letter_id')} AS letter FROM ner_entities",

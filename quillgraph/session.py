@@ -10,7 +10,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -64,6 +65,17 @@ def checkpointed(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[str], into: str) -> DataFrame:
+    """``df`` with rows counted from 0 in an order, by ranges side by side; only one number for each range is summed in one place."""
+    placed = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    # one row for each range, and as many ranges as there are partitions
+    out = placed.withColumn("_at", inside).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range")
+    return out.withColumn(into, (F.col("_before") + F.col("_at") - 1).cast("bigint")).drop("_range", "_at", "_before")
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a dataset folder; its Parquet files carry the schema."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))

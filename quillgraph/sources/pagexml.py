@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillgraph.schemas import PAGE_LINES
+from quillgraph.session import numbered
 
 _NAMED = re.compile(r"\{[^}]*\}")
 
@@ -76,13 +77,19 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ordered(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Good lines with one running ``seq`` over the files of each group in path order."""
-    w = Window.partitionBy(*(by or [F.lit(1)])).orderBy("path", "seq")
-    return lines.where("error is null").withColumn("seq", F.row_number().over(w).cast("bigint") - 1)
+    """Good lines with one running ``seq`` over the files of each group in path order; without groups over all files, numbered by ranges side by side."""
+    good = lines.where("error is null")
+    if not by:
+        return numbered(good, ["path", "seq"], "seq")
+    return good.withColumn("seq", F.row_number().over(Window.partitionBy(*by).orderBy("path", "seq")).cast("bigint") - 1)
 
 
-def page_spec(c: Column) -> Column:
-    """array<int> of a page specification such as ``4-9,12``, in its order."""
+def page_spec(c: Column, last: int | None = None) -> Column:
+    """array<int> of a page specification such as ``4-9,12``, in its order; a page outside 1 to ``last`` is an error, where that is given."""
     parts = F.filter(F.transform(F.split(c, ","), lambda p: F.trim(p)), lambda p: p != "")
     ends = F.transform(parts, lambda p: F.struct(F.split(p, "-")[0].cast("int").alias("a"), F.try_element_at(F.split(p, "-"), F.lit(-1)).cast("int").alias("b")))
-    return F.flatten(F.transform(ends, lambda e: F.when(e["a"] <= e["b"], F.sequence(e["a"], e["b"])).otherwise(F.array().cast("array<int>"))))
+    pages = F.flatten(F.transform(ends, lambda e: F.when(e["a"] <= e["b"], F.sequence(e["a"], e["b"])).otherwise(F.array().cast("array<int>"))))
+    if last is None:
+        return pages
+    wrong = F.filter(pages, lambda p: (p < 1) | (p > last))
+    return F.when(F.size(wrong) > 0, F.raise_error(F.format_string(f"page %d is outside 1-{last}", F.get(wrong, F.lit(0)))).cast("array<int>")).otherwise(pages)
