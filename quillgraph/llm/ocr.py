@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.llm.nametext import distance, one_slip
 from quillgraph.llm.skeleton import skeleton
+from quillgraph.session import checkpointed
 
 #: Least share of all words (lines) a word of the lexicon (a running title) has; the tables broadcast have at most one over this many entries.
 WORD_SHARE, TITLE_SHARE = 1.5e-5, 1.5e-4
@@ -457,7 +458,7 @@ def fit(letters: DataFrame, mentions: DataFrame | None = None, text_col: str = "
         words = words.join(named, "w", "left")
     else:
         words = words.withColumn("named", F.lit(None).cast("bigint"))
-    words = words.persist()
+    words = checkpointed(words)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     least = max(LEAST_WORDS, WORD_SHARE * total)
     frequent = words.where((F.col("n") >= least) & F.col("w").rlike(r"^[\p{L}\p{M}'’-]+$")).select("w", "n", F.coalesce("named", F.lit(0)).alias("named")).collect()
@@ -466,7 +467,6 @@ def fit(letters: DataFrame, mentions: DataFrame | None = None, text_col: str = "
     lexicon = {r["w"]: r["n"] for r in frequent if len(r["w"]) > 1 and r["named"] < 0.5 * r["n"] and not r["w"].endswith("-") and not (r["w"].isupper() and len(r["w"]) > 1)}
     unknown = words.where((F.col("n") < least) & F.col("named").isNull() & (F.length("w") > 1) & F.col("w").rlike(r"^\p{Ll}|[^\p{L}\p{M}]"))
     confusions = _confusions(lexicon, unknown)
-    words.unpersist()
     editor = Editor(lexicon, suspended, _titles(texts), confusions, letters_)
     chosen = sorted(lexicon, key=lambda w: (-lexicon[w], w))[:TRAINING_WORDS]
     editor.model.train(_examples(editor, [w for w in chosen if w.isalpha()]), EPOCHS)

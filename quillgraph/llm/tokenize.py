@@ -21,12 +21,14 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_TOKENIZER = os.environ.get("QUILLGRAPH_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 #: Words whose ids a worker remembers; beyond this many it forgets all and goes on. Results do not depend on it.
 REMEMBERED_WORDS = 400_000
+_sent: set[tuple[str, str]] = set()
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -195,6 +197,21 @@ def encode_text(text: str | None, path: str = DEFAULT_TOKENIZER) -> list[int]:
     return out.tolist()
 
 
+def sent(spark: SparkSession, path: str) -> str:
+    """Send a vocabulary file to the executors, once a session; the name under which ``loaded`` finds it there."""
+    app = spark.sparkContext.applicationId
+    if (app, path) not in _sent:
+        spark.sparkContext.addFile(path)
+        _sent.add((app, path))
+    return path
+
+
+def _here(path: str) -> str:
+    """The file as this machine has it: the one sent, else the one at the path."""
+    own = SparkFiles.get(os.path.basename(path)) if SparkFiles._is_running_on_worker else path
+    return own if os.path.exists(own) else path
+
+
 def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = DEFAULT_TOKENIZER) -> DataFrame:
     """(id, ids ARRAY<INT>) of every row, in one pass without a shuffle.
 
@@ -203,9 +220,10 @@ def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     whatever their names, are left out.
     """
     kind = df.schema[id_col].dataType.simpleString()
+    path = sent(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ids, _ = loaded(path)
+        words, ids, _ = loaded(_here(path))
         find = words.findall
         for batch in batches:
             texts, at = batch.column(1), 0
@@ -225,9 +243,10 @@ def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
 def token_sizes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = DEFAULT_TOKENIZER) -> DataFrame:
     """(id, n_tokens BIGINT) of every row; 0 for a null and an empty text."""
     kind = df.schema[id_col].dataType.simpleString()
+    path = sent(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, _, sizes = loaded(path)
+        words, _, sizes = loaded(_here(path))
         find, size = words.findall, sizes.__getitem__
         for batch in batches:
             counts = [sum(map(size, find(t.as_py() or ""))) for t in batch.column(1)]
