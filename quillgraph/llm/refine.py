@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions.arrow import mapped
 from quillgraph.llm.skeleton import skeleton
+from quillgraph.session import checkpointed
 
 # Small letters of other alphabets whose small or capital shape is that of the Latin letter below them.
 OTHER_SMALL = "авекмнорстухіјѕүαβεζηικμνορτυχϲðɖ"
@@ -51,19 +52,26 @@ def copies(df: DataFrame, scope: list[str], ordinal_col: str, text_col: str) ->
     rows = df.select(F.col(ordinal_col).alias("ordinal"), F.col(text_col).alias("text"), *[F.col(c).alias(f"s{i}") for i, c in enumerate(scope)]).dropna()
     spelled = rows.groupBy(*keys, "text").agg(F.min("ordinal").alias("least"), F.max("ordinal").alias("most")).withColumn("plain", F.col("text").rlike(_PLAIN))
     formed = spelled.where("plain").withColumn("form", _folded_plain(F.col("text"))).unionByName(spelled.where("not plain").withColumn("form", mapped(folded, F.col("text"))))
+    # from here on a spelling is known by two hashes, its scope by one; its text is not moved again
+    spelling = [F.xxhash64(*keys, "text").alias("h1"), F.xxhash64("text", *keys, F.lit(1)).alias("h2")]
     letters = F.regexp_replace("form", r"[^\p{L}]", "")
     several = lambda *by: F.count(F.lit(1)).over(Window.partitionBy(*by)) + F.when(F.col("least") < F.col("most"), 1).otherwise(0)
     # 1: digits in order and number of letters
-    first = formed.withColumn("k1", F.xxhash64(*keys, F.regexp_replace("form", "[^0-9]", ""), F.length(letters)))
+    first = formed.select(F.xxhash64(*keys, F.regexp_replace("form", "[^0-9]", ""), F.length(letters)).alias("k1"), F.xxhash64(F.lit(2), *keys).alias("scope"), *spelling, "form", "least", "most")
     first = first.withColumn("n", several("k1")).where("n > 1")
     # 2: letter histogram; the rows are already where the first key put them
     second = first.withColumn("k2", F.xxhash64(F.array_sort(F.split(letters, "")))).withColumn("n", several("k1", "k2")).where("n > 1")
     # 3: words and numbers in order
     found = F.regexp_extract_all("form", F.lit(r"([\p{L}\p{N}][\p{L}\p{N}\p{M}]*)"), 1)
     exact = second.withColumn("key", F.when(F.size(found) > 0, F.array_join(found, " ")).otherwise(F.concat(F.lit("\0"), "form")))
-    group = Window.partitionBy("k1", *keys, "key")
-    heads = exact.withColumn("ordinal_a", F.min("least").over(group)).withColumn("last", F.max("most").over(group)).where("ordinal_a < last").select(*keys, "text", "ordinal_a")
-    return rows.join(heads, [*keys, "text"]).where("ordinal <> ordinal_a").select("ordinal_a", F.col("ordinal").alias("ordinal_b")).distinct()
+    group = Window.partitionBy("k1", "scope", "key")
+    heads = exact.withColumn("ordinal_a", F.min("least").over(group)).withColumn("last", F.max("most").over(group)).where("ordinal_a < last").select("h1", "h2", "ordinal_a", "least", "most")
+    # members of classes only, used twice
+    heads = checkpointed(heads)
+    # a spelling of one row is known already; only those of several meet the rows again
+    single = heads.where("least = most and ordinal_a < least").select("ordinal_a", F.col("least").alias("ordinal_b"))
+    again = rows.select("ordinal", *spelling).join(heads.where("least < most").select("h1", "h2", "ordinal_a"), ["h1", "h2"]).where("ordinal <> ordinal_a").select("ordinal_a", F.col("ordinal").alias("ordinal_b"))
+    return single.unionByName(again).distinct()
 
 
 def collapsed(df: DataFrame, scope: list[str], ordinal_col: str, text_col: str) -> DataFrame:
