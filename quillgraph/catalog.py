@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillgraph.config import Config
@@ -149,26 +149,28 @@ def page_spec(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("source_pages", F.explode(pagexml.page_spec(F.concat(F.replace("source_pages", F.lit(";"), F.lit("-")), F.lit(", 3")))).alias("page"))
 
 
+def _pieces(spark: SparkSession, folder: str, gap: Column) -> DataFrame:
+    """Every mention as a letter of its own (own), cut into two pieces where it has offsets and four letters; the second begins ``gap`` later."""
+    rows = read_table(spark, folder, "ner_entities").withColumn("own", F.concat_ws("#", F.coalesce("letter_id", F.lit("")), "ordinal"))
+    piece = lambda k, text, start, end: F.struct(F.lit(k).alias("k"), text.alias("word"), start.cast("int").alias("start"), end.cast("int").alias("end"))
+    start, end, text = F.col("start"), F.col("end"), F.col("text")
+    cut = F.array(piece(0, F.substring("text", 1, 2), start, start + 2), piece(1, F.concat(F.lit("##"), F.expr("substring(text, 3)")), start + 2 + gap, end))
+    can = F.coalesce((F.col("label") != "DATE") & (F.length("text") > 3) & (end - start > 3), F.lit(False))
+    return rows.select("own", "ordinal", "label", "score", "model", F.explode(F.when(can, cut).otherwise(F.array(piece(0, text, start, end)))).alias("p")).select("own", "ordinal", "label", "score", "model", "p.*")
+
+
 @query
 def wordpiece_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """Every name cut into two pieces and merged again."""
-    rows = read_table(spark, folder, "ner_entities").where("start is not null and end is not null and letter_id is not null and length(text) >= 4 and end - start = length(text)")
-    cut = F.when(F.col("label") == "DATE", F.array(F.struct("text", "start", "end"))).otherwise(
-        F.array(F.struct(F.substring("text", 1, 2).alias("text"), F.col("start").alias("start"), (F.col("start") + 2).alias("end")), F.struct(F.concat(F.lit("##"), F.expr("substring(text, 3)")).alias("text"), (F.col("start") + 2).alias("start"), F.col("end").alias("end")))
-    )
-    one = rows.groupBy("letter_id", "start", "end").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in ("letter_id", "start", "end")]), "ordinal").alias("r")).select("letter_id", "start", "end", "r.*")
-    pieces = one.select("letter_id", "ordinal", "label", "score", "model", F.explode(cut).alias("p")).select("letter_id", "ordinal", "p.text", "label", "p.start", "p.end", "score", "model")
-    return mentions.merged_pieces(pieces).select("letter_id", "ordinal", "text", "label", "start", "end")
+    """Every mention cut into two pieces and merged again."""
+    pieces = _pieces(spark, folder, F.lit(0)).withColumnsRenamed({"own": "letter_id", "word": "text"})
+    return mentions.merged_pieces(pieces).select("ordinal", "text", "label", "start", "end", "score")
 
 
 @query
 def wordpiece_merge_inference(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces in model order, of which each second one continues the one before only if it starts where that ends."""
-    rows = read_table(spark, folder, "ner_entities").where("letter_id is not null and start is not null and end is not null and length(text) > 3")
-    gap = F.when(F.col("label") == "LOC", 1).otherwise(0)
-    cut = F.array(F.struct(F.lit(0).alias("k"), F.substring("text", 1, 2).alias("word"), F.col("start").alias("start"), (F.col("start") + 2).alias("end")), F.struct(F.lit(1).alias("k"), F.concat(F.lit("##"), F.expr("substring(text, 3)")).alias("word"), (F.col("start") + 2 + gap).alias("start"), F.col("end").alias("end")))
-    pieces = rows.select("letter_id", "ordinal", F.col("label").alias("tag"), "score", F.explode(cut).alias("p")).select("letter_id", (F.col("ordinal") * 2 + F.col("p.k")).alias("ordinal"), "p.word", "tag", "p.start", "p.end", "score")
-    return mentions.merged_in_model_order(pieces).select("letter_id", "ordinal", "word", "tag", "start", "end", "score")
+    pieces = _pieces(spark, folder, F.when(F.col("label") == "LOC", 1).otherwise(0)).withColumn("ordinal", F.col("ordinal") * 2 + F.col("k"))
+    return mentions.merged_in_model_order(pieces.withColumnsRenamed({"own": "letter_id", "label": "tag"})).select("ordinal", "word", "tag", "start", "end", "score")
 
 
 @query
@@ -319,9 +321,12 @@ def drawn_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, folder: str) -> DataFrame:
-    """What an earlier run of the tagger had: an edge is a mention of its letter."""
-    e = read_table(spark, folder, "entity_network_edges").where("source_type = 'LETTER'")
-    return e.select(F.col("source").alias("letter_id"), F.col("target").alias("text"), F.col("target_type").alias("label"))
+    """What an earlier run of the tagger had: an edge is a mention of its letter, whichever end that is at."""
+    e = read_table(spark, folder, "entity_network_edges").where("source_type = 'LETTER' or target_type = 'LETTER'")
+    # of two letter ends the target is what is mentioned
+    first = F.coalesce(F.col("source_type") == "LETTER", F.lit(False))
+    end = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
+    return e.select(end("source", "target").alias("letter_id"), end("target", "source").alias("text"), end("target_type", "source_type").alias("label"))
 
 
 @query

@@ -194,7 +194,7 @@ def _lines() -> str:
 
 
 _counter = lambda t, a, b, c, where="true": f"SELECT {a} AS letter_id, {strip(b)} AS text, upper(trim({c})) AS label, count(*) AS n FROM {t} WHERE upper(trim({c})) IN ('PER', 'LOC', 'ORG', 'MISC') AND {strip(b)} <> '' AND {where} GROUP BY 1, 2, 3"
-BOTH = f"""b AS (SELECT letter_id, text, label, sum(g) AS g, sum(p) AS p FROM (SELECT letter_id, text, label, n AS g, 0 AS p FROM ({_counter('entity_network_edges', 'source', 'target', 'target_type', "source_type = 'LETTER'")}) UNION ALL SELECT letter_id, text, label, 0, n FROM ({_counter('ner_entities', 'letter_id', 'text', 'label')})) GROUP BY 1, 2, 3)"""
+BOTH = f"""b AS (SELECT letter_id, text, label, sum(g) AS g, sum(p) AS p FROM (SELECT letter_id, text, label, n AS g, 0 AS p FROM ({_counter("(SELECT CASE WHEN source_type = 'LETTER' THEN source ELSE target END AS l, CASE WHEN source_type = 'LETTER' THEN target ELSE source END AS e, CASE WHEN source_type = 'LETTER' THEN target_type ELSE source_type END AS k FROM entity_network_edges WHERE source_type = 'LETTER' OR target_type = 'LETTER')", 'l', 'e', 'k')}) UNION ALL SELECT letter_id, text, label, 0, n FROM ({_counter('ner_entities', 'letter_id', 'text', 'label')})) GROUP BY 1, 2, 3)"""
 NER = f"""WITH {BOTH}, t AS (SELECT k.label AS type, coalesce(sum(g), 0) AS gold, coalesce(sum(p), 0) AS predicted, coalesce(sum(least(g, p)), 0) AS correct FROM (VALUES ('PER'), ('LOC'), ('ORG'), ('MISC')) k(label) LEFT JOIN b USING (label) GROUP BY 1),
     u AS (SELECT * FROM t UNION ALL SELECT 'micro avg.', sum(gold), sum(predicted), sum(correct) FROM t),
     s AS (SELECT *, CASE WHEN predicted > 0 THEN correct / predicted ELSE 0 END AS precision, CASE WHEN gold > 0 THEN correct / gold ELSE 0 END AS recall FROM u),
@@ -255,9 +255,9 @@ ORACLES: dict[str, str] = {
     "address_lookahead": f"SELECT letter_id, seq::INT AS seq, text FROM (SELECT *, max(regexp_matches({light('text')}, {q(_address)})::INT) OVER (PARTITION BY letter_id ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS a FROM {LINES}) WHERE a = 1",
     "page_markup": f"SELECT l.letter_id || '.xml' AS page_file, try_cast(nullif(regexp_extract(source_page_files, '[0-9]+'), '') AS INT) AS page_number, 'r1' AS region_id, 'l' || seq AS line_id, {light('nfc_normalize(l.text)')} AS text FROM {LINES} l JOIN {L} f USING (letter_id) WHERE {light('nfc_normalize(l.text)')} <> ''",
     "page_spec": "SELECT source_pages, CAST(unnest(list_concat(range(CAST(string_split(source_pages, ';')[1] AS INT), CAST(string_split(source_pages, ';')[-1] AS INT) + 1), [3])) AS INT) AS page FROM (SELECT DISTINCT source_pages FROM letters_fixed WHERE source_pages IS NOT NULL)",
-    "wordpiece_merge": """SELECT letter_id, ordinal, text, label, "start", "end" FROM (SELECT DISTINCT ON (letter_id, "start", "end") * FROM ner_entities WHERE "start" IS NOT NULL AND "end" IS NOT NULL AND letter_id IS NOT NULL AND length(text) >= 4 AND "end" - "start" = length(text) ORDER BY letter_id, "start", "end", ordinal)""",
-    "wordpiece_merge_inference": """WITH r AS (SELECT * FROM ner_entities WHERE letter_id IS NOT NULL AND "start" IS NOT NULL AND "end" IS NOT NULL AND length(text) > 3)
-        SELECT letter_id, ordinal * 2 AS ordinal, text AS word, label AS tag, "start", "end", score FROM r WHERE label <> 'LOC' UNION ALL SELECT letter_id, ordinal * 2, text[1:2], label, "start", "start" + 2, score FROM r WHERE label = 'LOC' UNION ALL SELECT letter_id, ordinal * 2 + 1, '##' || substring(text, 3), label, "start" + 3, "end", score FROM r WHERE label = 'LOC'""",
+    "wordpiece_merge": """SELECT ordinal, text, label, "start", "end", score FROM ner_entities""",
+    "wordpiece_merge_inference": """WITH r AS (SELECT *, coalesce(label <> 'DATE' AND length(text) > 3 AND "end" - "start" > 3, false) AND label = 'LOC' AS apart FROM ner_entities)
+        SELECT ordinal * 2 AS ordinal, text AS word, label AS tag, "start", "end", score FROM r WHERE NOT coalesce(apart, false) UNION ALL SELECT ordinal * 2, text[1:2], label, "start", "start" + 2, score FROM r WHERE apart UNION ALL SELECT ordinal * 2 + 1, '##' || substring(text, 3), label, "start" + 3, "end", score FROM r WHERE apart""",
     "contained_spans": """WITH r AS (SELECT ordinal, letter_id, text, label, "start", "end" FROM ner_entities UNION ALL SELECT ordinal, letter_id, right(text, 4), label, "end" - 4, "end" FROM ner_entities WHERE label = 'DATE' AND length(text) > 4 AND "start" IS NOT NULL)
         SELECT * FROM r WHERE NOT (label = 'DATE' AND EXISTS (SELECT 1 FROM r o WHERE o.label = 'DATE' AND o.letter_id = r.letter_id AND o."start" <= r."start" AND o."end" >= r."end" AND length(o.text) > length(r.text)))""",
     "drop_filter": f"SELECT ordinal, surface, label FROM (SELECT *, {surface('text')} AS surface FROM ner_entities) WHERE surface <> '' AND letter_id <> '' AND score >= 0.6 AND length(surface) >= 2 AND surface NOT IN ({', '.join(map(q, DROPPED_SURFACES))}) AND NOT ({' OR '.join(f'contains(surface, {q(p)})' for p in DROPPED_PARTS)}) AND NOT (label IN ('PER', 'LOC', 'ORG') AND length(surface) <= 2) AND NOT starts_with(surface, '##')",
