@@ -78,7 +78,8 @@ def _split(df: DataFrame) -> DataFrame:
                 out.append([{"at": n, "word": w, "stem": stem(w), "frame": frame_stem(w), "said": said.get(w.rstrip(".")), "title": w in TITLES, "around": w.rstrip(".") in left_out} for n, w in enumerate(own)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, item)], ["type", "label", "own"])
 
-    return df.mapInArrow(run, f"type string, label string, own array<{_WORD}>")
+    # a table of labels is small for its work, so it is spread before Python
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, f"type string, label string, own array<{_WORD}>")
 
 
 def known_forms(forms: DataFrame) -> DataFrame:
