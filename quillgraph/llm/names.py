@@ -269,15 +269,22 @@ def resolve(read: DataFrame) -> DataFrame:
     # what reads as the same full name is one profile from the start, familiar forms beside it or not
     start = F.when(F.col("full").isNotNull(), F.concat_ws("|", "kind", "family", F.lit("="), "full")).otherwise(F.col("form"))
     state = checkpointed(forms.withColumn("entity", start))
-    while not (moves := checkpointed(_round(state))).isEmpty():
+    while True:
+        known = _known(state)
+        moves = checkpointed(_round(known))
+        if moves.isEmpty():
+            # what is without a profile still is looked at when no profile takes in anything more
+            moves = checkpointed(_among_themselves(known))
+            if moves.isEmpty():
+                break
         # what would move to a profile that moves itself waits for the next round
         moves = moves.join(moves.select(F.col("entity").alias("to")).hint("merge"), "to", "left_anti")
         state = checkpointed(state.join(moves.hint("merge"), "entity", "left").withColumn("entity", F.coalesce("to", "entity")).drop("to"))
     return state.select("form", "entity")
 
 
-def _round(state: DataFrame) -> DataFrame:
-    """(entity, to): what this round may merge."""
+def _known(state: DataFrame) -> DataFrame:
+    """Entities by family name: what they are called, what a record asks for, and of how many profiles (k) the family name is, the least of them (only)."""
     exact = F.flatten(F.transform("beside", lambda w: F.filter(w, lambda a: a.endswith("$") | a.contains("^"))))
     # of a record without a full name only the form itself is a spelling, not all it may stand for
     spelled = F.when(F.col("full").isNull(), F.transform(F.filter("beside", lambda w: w[0].endswith("$")), lambda w: w[0])).otherwise(exact)
@@ -285,11 +292,15 @@ def _round(state: DataFrame) -> DataFrame:
     named = state.where("family is not null").groupBy("entity").agg(F.first("kind").alias("kind"), F.collect_set("family").alias("families"), F.array_distinct(F.flatten(F.collect_list(spelled))).alias("givens"), F.max("full").alias("full"), F.sum("n").alias("n"), fewest.alias("beside"))
     # a profile is matched by its full name only, an organisation's by all words of its kind
     own = F.when(F.col("kind") == "ORG", F.transform(F.split("full", " "), lambda w: F.array(F.concat(w, F.lit("$"))))).otherwise(F.array(F.array(F.concat("full", F.lit("$")))))
-    named = checkpointed(named.withColumn("beside", F.when(F.col("full").isNotNull(), own).otherwise(F.col("beside"))).withColumn("family", F.explode("families")).drop("families"))
+    named = named.withColumn("beside", F.when(F.col("full").isNotNull(), own).otherwise(F.col("beside"))).withColumn("family", F.explode("families")).drop("families")
+    alone = named.where("full is not null").groupBy("kind", "family").agg(F.count_distinct("entity").alias("k"), F.min("entity").alias("only"))
+    return checkpointed(named.join(alone.hint("merge"), ["kind", "family"], "left"))
+
+
+def _round(known: DataFrame) -> DataFrame:
+    """(entity, to): what this round may merge into profiles."""
     initial = lambda words_: F.explode(F.array_distinct(F.transform(words_, lambda g: F.substring(g, 1, 1))))
-    profiles = named.where("full is not null")
-    alone = profiles.groupBy("kind", "family").agg(F.count_distinct("entity").alias("k"), F.min("entity").alias("only"))
-    known = named.join(alone.hint("merge"), ["kind", "family"], "left")
+    profiles = known.where("full is not null")
     # the family name alone, where only one profile has it; counted, not paired. A capital G may be a title at a sentence's start
     title = F.coalesce((F.size("beside") == 1) & F.try_element_at(F.try_element_at("beside", F.lit(1)), F.lit(1)).isin("g", "g^g"), F.lit(False))
     bare = known.where(F.col("full").isNull() & ((F.size("beside") == 0) | title) & (F.col("k") == 1)).select("entity", F.col("only").alias("to"), F.lit(True).alias("same"))
@@ -304,21 +315,21 @@ def _round(state: DataFrame) -> DataFrame:
     given = F.col("full").isNotNull()
     short = F.greatest(F.length("family"), F.length("to_family")) < SHORT_FAMILY
     slip = (F.col("family") != F.col("to_family")) & (given | ((F.coalesce("k", F.lit(0)) <= 1) & ~short)) & fewer & _slip(F.col("family"), F.col("to_family"))
-    pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare).unionByName(_among_themselves(known))
+    pairs = met.where(same | slip).select("entity", "to", same.alias("same")).unionByName(bare)
     chosen = pairs.groupBy("entity").agg(F.collect_set(F.when(F.col("same"), F.col("to"))).alias("equal"), F.collect_set(F.when(~F.col("same"), F.col("to"))).alias("slips"))
     chosen = chosen.withColumn("may", F.when(F.size("equal") > 0, F.col("equal")).otherwise(F.col("slips")))
     return chosen.where("size(may) = 1").select("entity", F.col("may")[0].alias("to"))
 
 
 def _among_themselves(known: DataFrame) -> DataFrame:
-    """(entity, to, same): records of a family name without a profile, and the one of them that says most, if all the others may be it."""
+    """(entity, to): records of a family name without a profile, and the one of them that says most, if all the others may be it."""
     open_ = known.where("full is null and k is null")
     says = F.aggregate("beside", F.lit(0), lambda n, w: n + F.length(w[0]))
     block = ["kind", "family"]
     richest = open_.groupBy(*block).agg(F.count("*").alias("_records"), F.max_by(F.struct(F.col("entity").alias("to"), F.transform("beside", lambda w: w[0]).alias("words")), F.struct(says, "n", "entity")).alias("_r")).where("_records > 1").select(*block, "_r.*")
     met = open_.join(richest.hint("merge"), block).withColumn("_fits", (F.col("entity") == F.col("to")) | _fits(F.col("beside"), F.col("words")))
     agreed = met.groupBy(*block).agg(F.min("_fits").alias("_all")).where("_all").select(*block)
-    return met.join(agreed.hint("merge"), block, "left_semi").where("entity <> to").select("entity", "to", F.lit(True).alias("same"))
+    return met.join(agreed.hint("merge"), block, "left_semi").where("entity <> to").groupBy("entity").agg(F.min("to").alias("to"))
 
 
 def distinct_names(mentions: DataFrame, recipients: DataFrame) -> DataFrame:
