@@ -31,7 +31,7 @@ from quillgraph.session import checkpointed
 #: Containers' worth of items in a shard, on average, and items of a shard, about.
 WINDOWS, ITEMS = 192, 16_384
 #: Room that a window may be closed with, as a share of the capacity.
-ROOM = 0.002
+ROOM = 0.01
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
