@@ -47,4 +47,8 @@ ORACLES: dict[str, str] = {
     "p4_forms": f"SELECT ordinal, {form('label')} AS form FROM ner_nel_entities",
     "p6_found": f"WITH {_mentions}, {_edges} {_copies('ner_entities')} UNION ALL {_copies('entity_network_edges')}",
     "p6_collapsed": f"WITH {_mentions}, g AS (SELECT min(ordinal) AS ordinal, count(*) AS n_copies FROM ner_entities_k GROUP BY letter_id, kind, k) SELECT ordinal, n_copies FROM g UNION ALL SELECT ordinal, 1 FROM ner_entities WHERE letter_id IS NULL OR label IS NULL OR text IS NULL",
+    "p4_table_forms": f"SELECT 'ner_entities' AS tab, ordinal, {form('text')} AS form FROM ner_entities UNION ALL SELECT 'ner_nel_entities', ordinal, {form('label')} FROM ner_nel_entities",
+    "p6_records": f"""WITH {_mentions}, {_edges}, g AS (SELECT 'ner_entities' AS tab, min(ordinal) AS ordinal, count(*) AS n_copies FROM ner_entities_k GROUP BY letter_id, kind, k UNION ALL SELECT 'entity_network_edges', min(ordinal), count(*) FROM entity_network_edges_k GROUP BY letter_id, kind, k)
+        SELECT * FROM g UNION ALL SELECT 'ner_entities', ordinal, 1 FROM ner_entities WHERE letter_id IS NULL OR label IS NULL OR text IS NULL
+        UNION ALL SELECT 'entity_network_edges', ordinal, 1 FROM entity_network_edges WHERE ordinal NOT IN (SELECT ordinal FROM entity_network_edges_k)""",
 }
