@@ -12,7 +12,7 @@ from quillgraph.functions import dates, text
 from quillgraph.functions.spans import matches
 from quillgraph.operators import evaluation, letters, linking, mentions, network, segment
 from quillgraph.operators.triples import Sources
-from quillgraph.oracles import ORACLES  # noqa: F401
+from quillgraph.oracles import ALIASES, ORACLES  # noqa: F401
 from quillgraph.plans import graph_queries
 from quillgraph.session import read_table
 from quillgraph.sources import pagexml, sinks, tables
@@ -189,11 +189,12 @@ def drop_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def alias_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    """The first word of each person in its full form, by a look-up table of familiar forms."""
+    """The first word of each person in its full form, by a look-up table of familiar forms, and listed surfaces in their own form."""
     forms = read_table(spark, folder, "given_name_forms").groupBy("short_form").agg(F.min("given_name").alias("given_name"))
-    rows = read_table(spark, folder, "ner_entities").where("label = 'PER'").select("ordinal", F.split(text.surface("text"), " ")[0].alias("word"))
+    named = read_table(spark, folder, "ner_entities").where("label = 'PER'").withColumn("surface", text.surface("text"))
+    rows = named.select("ordinal", F.split("surface", " ")[0].alias("word"), text.aliased("surface", ALIASES).alias("alias"))
     # 42 rows, fixed
-    return rows.join(F.broadcast(forms), F.col("word") == F.col("short_form"), "left").select("ordinal", F.coalesce("given_name", "word").alias("given_name"))
+    return rows.join(F.broadcast(forms), F.col("word") == F.col("short_form"), "left").select("ordinal", F.coalesce("given_name", "word").alias("given_name"), "alias")
 
 
 @query

