@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.config import Config
@@ -14,7 +14,7 @@ from quillgraph.operators import evaluation, letters, linking, mentions, network
 from quillgraph.operators.triples import Sources
 from quillgraph.oracles import ALIASES, ORACLES  # noqa: F401
 from quillgraph.plans import graph_queries
-from quillgraph.session import read_table
+from quillgraph.session import numbered, read_table
 from quillgraph.sources import pagexml, sinks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,9 +114,9 @@ def address_lookahead(spark: SparkSession, folder: str) -> DataFrame:
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
     """Letters that share page files are cut apart again; a page file's lines are one sequence."""
     lines = _lines(spark, folder).withColumn("page_file", F.col("source_page_files")).withColumn("page_number", F.split("source_pages", ";")[0].cast("int"))
-    order = Window.partitionBy("page_file").orderBy("letter_id", "seq")
-    numbered = lines.withColumn("seq", F.row_number().over(order).cast("bigint"))
-    return segment.segments(numbered, "page_file", segment.header_pattern(place_pattern=PLACE))
+    # numbers over all page files serve as well within each
+    placed = numbered(lines, ["page_file", "letter_id", "seq"], "seq")
+    return segment.segments(placed, "page_file", segment.header_pattern(place_pattern=PLACE))
 
 
 @query

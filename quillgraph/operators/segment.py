@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.dimensions import GENITIVE_MONTHS, HEADER_PLACES
 from quillgraph.functions.text import light
-from quillgraph.session import checkpointed
+from quillgraph.session import checkpointed, numbered, running
 
 # Words of a salutation and of a signature, and the marker of an address.
 SALUTATIONS = ["Draga", "Dragi", "Poštovana", "Postovana", "Poštovani", "Postovani", "gospođice", "gospodice"]
@@ -80,17 +80,32 @@ class Fold:
 def segments(lines: DataFrame, group: str, pattern: str | None = None, author_pattern: str = "") -> DataFrame:
     """(group, letter_no, source_page_files, source_pages ARRAY<INT>, raw_header, text) of lines (group, seq, page_file, page_number, text).
 
-    The split test depends on the running segment, so each group is folded in order, lines
-    streaming by in batches of one sorted partition; only a letter's own lines are held.
-    Groups of any number run side by side; a segment without text is left out and has no
-    number. A null group is a group; lines with null text are left out.
+    Whether a header begins a letter depends on the running segment, but not always: one with
+    no address after it, no header in the three lines before it and four lines of its group
+    before it does so whatever came before. The sequence is cut at these, and at the
+    starts of groups, and the parts are folded side by side, each in order, lines streaming by
+    in batches; only a letter's own lines are held. Groups and their lines may be of any
+    number. A segment without text is left out and has no number. A null group is a group;
+    lines with null text are left out.
     """
-    flagged = address_follows(lines.where("text is not null").select(F.col(group).alias("group"), "seq", "page_file", "page_number", "text"), ["group"]).withColumn("header", is_header(F.col("text"), pattern))
+    rows = lines.where("text is not null").select(F.col(group).alias("group"), "seq", "page_file", "page_number", "text")
+    placed = checkpointed(numbered(rows.withColumn("header", is_header(F.col("text"), pattern)).withColumn("address", is_address(F.col("text"))), ["group", "seq"], "at"))
     kind = lines.schema[group].dataType.simpleString()
+    # headers and addresses are few; they meet by the number of their line, within a group
+    around = lambda df, *steps: df.select(F.col("group").alias("_g"), F.explode(F.array(*[F.col("at") + k for k in steps])).alias("_at")).distinct()
+    same = (F.col("at") == F.col("_at")) & F.col("group").eqNullSafe(F.col("_g"))
+    ahead = tuple(range(1, ADDRESS_LINES + 1))
+    heads = placed.where("header").select("group", "at")
+    followed = heads.join(around(placed.where("address"), *[-k for k in ahead]), same, "left_semi").select("at")
+    starts = placed.groupBy("group").agg(F.min("at").alias("at"))
+    sure = heads.join(followed, "at", "left_anti").join(around(heads, *range(1, SHORT_SEGMENT + 1)), same, "left_anti").join(around(starts, *range(SHORT_SEGMENT + 1)), same, "left_anti")
+    cuts = sure.select("at").unionByName(starts.select("at")).withColumn("cut", F.lit(1))
+    flagged = placed.drop("address").join(followed.withColumn("address_follows", F.lit(True)), "at", "left").join(cuts, "at", "left").withColumn("address_follows", F.coalesce("address_follows", F.lit(False)))
+    parts = running(flagged, ["at"], F.coalesce("cut", F.lit(0)), "part")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["group", "letter_no", "source_page_files", "source_pages", "raw_header", "text"]
-        now: object = run  # no group has this value
+        names = ["group", "part", "no", "source_page_files", "source_pages", "raw_header", "text"]
+        now = part = None
         fold, rows, number = Fold(author_pattern), [], 0
         held: list[tuple] = []
 
@@ -99,16 +114,15 @@ def segments(lines: DataFrame, group: str, pattern: str | None = None, author_pa
             text = letter_text([h[0] for h in held])
             if text:
                 number += 1
-                rows.append((now, number, sorted({h[1] for h in held if h[1] is not None}), sorted({int(h[2]) for h in held if h[2] is not None and h[2] == h[2]}), " | ".join(h[0] for h in held[:8] if h[0].strip()), text))
+                rows.append((now, part, number, sorted({h[1] for h in held if h[1] is not None}), sorted({int(h[2]) for h in held if h[2] is not None and h[2] == h[2]}), " | ".join(h[0] for h in held[:8] if h[0].strip()), text))
             held, fold.lines = [], []
 
         for pdf in batches:
-            for g, line, page_file, page, header, follows in zip(pdf["group"], pdf["text"], pdf["page_file"], pdf["page_number"], pdf["header"], pdf["address_follows"]):
-                g = None if g is None or g != g else g
-                if now is run or g != now:
+            for g, p, line, page_file, page, header, follows in zip(pdf["group"], pdf["part"], pdf["text"], pdf["page_file"], pdf["page_number"], pdf["header"], pdf["address_follows"]):
+                if p != part:
                     if held:
                         flush()
-                    now, number = g, 0
+                    now, part, number = None if g is None or g != g else g, p, 0
                 if header and fold.splits(follows):
                     flush()
                 held.append((line, page_file, page))
@@ -121,9 +135,13 @@ def segments(lines: DataFrame, group: str, pattern: str | None = None, author_pa
         if rows:
             yield pd.DataFrame(rows, columns=names)
 
-    placed = flagged.repartition("group").sortWithinPartitions("group", "seq")
-    out = placed.mapInPandas(run, f"group {kind}, letter_no int, source_page_files array<string>, source_pages array<int>, raw_header string, text string")
-    return out.withColumnRenamed("group", group)
+    folded = parts.repartition("part").sortWithinPartitions("part", "at").mapInPandas(run, f"group {kind}, part bigint, no int, source_page_files array<string>, source_pages array<int>, raw_header string, text string")
+    # letters are numbered through all groups and then from the first of each
+    out = checkpointed(folded)
+    counted = checkpointed(numbered(out.select("group", "part", "no"), ["part", "no"], "_n"))
+    first = counted.groupBy("group").agg(F.min("_n").alias("_first")).withColumnRenamed("group", "_g")
+    numbers = counted.join(first, F.col("group").eqNullSafe(F.col("_g"))).select("part", "no", (F.col("_n") - F.col("_first") + 1).cast("int").alias("letter_no"))
+    return out.join(numbers, ["part", "no"]).select(F.col("group").alias(group), "letter_no", "source_page_files", "source_pages", "raw_header", "text")
 
 
 def letters(segmented: DataFrame, group: str) -> DataFrame:

@@ -10,7 +10,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -65,15 +65,21 @@ def checkpointed(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, order: list[str], into: str) -> DataFrame:
-    """``df`` with rows counted from 0 in an order, by ranges side by side; only one number for each range is summed in one place."""
-    placed = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    sizes = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
-    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+def running(df: DataFrame, order: list[str], value: Column, into: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over all rows up to each, in an order, by ranges side by side; only one number for each range is summed in one place."""
+    placed = checkpointed(df.withColumn("_value", value).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.sum("_value").alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.sum("_value").over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     # one row for each range, and as many ranges as there are partitions
-    out = placed.withColumn("_at", inside).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range")
-    return out.withColumn(into, (F.col("_before") + F.col("_at") - 1).cast("bigint")).drop("_range", "_at", "_before")
+    out = placed.withColumn("_inside", inside).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range")
+    return out.withColumn(into, (F.col("_before") + F.col("_inside")).cast("bigint")).drop("_range", "_inside", "_before", "_value")
+
+
+def numbered(df: DataFrame, order: list[str], into: str) -> DataFrame:
+    """``df`` with rows counted from 0 in an order, by ranges side by side."""
+    # the old values of the column may be part of the order, so the new ones come last
+    return running(df, order, F.lit(1), "_number").withColumn(into, F.col("_number") - 1).drop("_number")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -171,3 +171,29 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], M)
     assert mentions.merged_pieces(none).count() == 0 and mentions.without_contained_dates(none).count() == 0 and linking.entity_table(none).count() == 0
     assert evaluation.ner_metrics(none, none).count() == 5
+
+
+def test_segments_as_one_fold(spark):
+    """Parts folded side by side give what one fold over each group gives, whatever headers, addresses and short segments follow each other."""
+    import random
+
+    chance = random.Random(8)
+    says = ["Beograd, 1. IV 1925.", "Zagreb, 3. V 1925.", "[Adresa:]", "Draga Zdenka,", "pišem Vam.", "tekst", "  ", "Vaš", "nešto u Polj-", "skoj"]
+    rows = [(g, i, f"p{g}", 1, chance.choice(says)) for g in ("a", "b", "c", None) for i in range(400)] + [(f"s{k}", 0, "p", 1, chance.choice(says)) for k in range(40)]
+    want = []
+    for g in dict.fromkeys(r[0] for r in rows):
+        lines = [r[4] for r in rows if r[0] == g]
+        fold, held = segment.Fold(), []
+        made = []
+        for i, line in enumerate(lines):
+            header = line.startswith(("Beograd", "Zagreb"))
+            if header and fold.splits("[Adresa:]" in lines[i + 1 : i + 4]):
+                made.append(held)
+                held, fold.lines = [], []
+            held.append(line)
+            fold.lines.append(line)
+        texts = [t for t in map(segment.letter_text, [*made, held]) if t]
+        want += [(g, k + 1, t) for k, t in enumerate(texts)]
+    chance.shuffle(rows)
+    got = [tuple(r) for r in segment.segments(spark.createDataFrame(rows, LINES).repartition(5), "g").select("g", "letter_no", "text").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
