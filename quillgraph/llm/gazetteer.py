@@ -33,7 +33,7 @@ from quillgraph.session import checkpointed
 SHARD_ENTRIES, PART_LABELS = 50_000, 20_000
 #: A part has not fewer labels than this while there are cores to keep busy.
 LEAST_PART = 400
-#: Edits of a proper name, at most, by its least letters; with two, names of nine letters and more gave only wrong entries.
+#: Edits of a proper name, at most, by its least letters; with two, names of nine letters and more meet entries that look like other places.
 EDITS = ((5, 1),)
 PERSON = "PER"
 #: A word that stands before as many different last words as this share of a type's entries, and two at least, belongs to the frame.
