@@ -2,25 +2,25 @@
 
 Three kinds of text are modelled by counts of character 4-grams in hashed tables of
 fixed size: residue (filler, error messages, notices, navigation), unfilled slots, and
-natural prose. Residue starts from a few general seeds, prose from a bounded sample of
-the corpus; the sample is scored, what scores as residue joins the residue and leaves the
-prose, and the models are fitted again until no text of the sample changes sides. A text
-is scored by the log likelihood ratios of its 4-grams; windows of WINDOW characters whose
-sum is above a threshold are residue, and a document is excluded if they cover at least
-COVERAGE of it.
+natural prose. Residue starts from a few general seeds, prose from all texts of the
+corpus; every text is scored, what scores as residue joins the residue and leaves the
+prose, and the models are fitted again until no text changes sides. A text is scored by
+the log likelihood ratios of its 4-grams; windows of WINDOW characters whose sum is above
+a threshold are residue, and a document is excluded if they cover at least COVERAGE of it.
 
 A slot is localised by the window of any length whose ratio is greatest. Its 4-grams are
 counted twice, as characters and as shapes (every letter one sign), against prose and
 against the marks that editors set in prose, which are learnt as the marked strings that
-recur in the sample. A document with a window above SLOT_THRESHOLD is excluded.
+recur in the corpus. A document with a window above SLOT_THRESHOLD is excluded.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, replace
 from itertools import product
 
 import numpy as np
@@ -28,19 +28,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Documents the models are fitted on, at most about this many, spread over the corpus by a hash of the id.
-SAMPLE_DOCUMENTS = 6000
+from quillgraph.session import checkpointed
+
+#: Counts of a corpus of more documents are brought to those of so many, so that smoothing, seeds and caps weigh the same at every size.
+WEIGHT_DOCUMENTS = 6000
 WINDOW, THRESHOLD = 28, 9.0
 COVERAGE = 0.55
-#: Coverage from which a text of the sample joins the residue while the models are still rough.
+#: Coverage from which a text joins the residue while the models are still rough.
 JOIN_COVERAGE = 0.4
 SLOT_THRESHOLD = 12.0
-#: A marked string in at least this share of the sample's documents, and MARK_LEAST of them, is an editor's mark.
+#: A marked string in at least this share of the documents, and MARK_LEAST of them, is an editor's mark.
 MARK_SHARE, MARK_LEAST = 0.004, 5
 #: A 4-gram of letters alone says at most this much for a slot.
 PLAIN_MOST = 2.0
 _BITS, _GRAM = 20, 4
 _PAD = WINDOW + _GRAM
+#: Characters looked at together, so few that their arrays stay in a processor's cache.
+_PART = 64_000
 
 # General filler, notices and navigation in the languages of the corpus, for the first fit.
 FILLER = [
@@ -112,7 +116,7 @@ def _grams(c: np.ndarray) -> np.ndarray:
 
 
 def _counts(texts: list[str], of=_codes) -> np.ndarray:
-    # in parts, as a sample may hold very long texts
+    # in parts, as the lists may be long
     out, part, size = np.zeros(1 << _BITS), [], 0
     for t in [*texts, None]:
         if t is None or size > 4_000_000:
@@ -148,12 +152,17 @@ def _ratio(of: np.ndarray, against: np.ndarray, marks: np.ndarray | None = None)
     return np.clip(r, -5, 4).astype(np.float32)
 
 
-def _shape_ratio(slots: list[str], prose: list[str], marks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ratios of shapes, ratios of rough shapes, in which every sign is the same); a shape unknown to all is null in the first, so that the second decides."""
-    own, against, editors = (_counts(t, _shape_codes) for t in (slots, prose, marks))
+def _single_less(counts: np.ndarray) -> np.ndarray:
+    """Counts in which a 4-gram met once weighs what Good and Turing estimate for it, from the numbers of those met once and twice."""
+    once, twice = (counts == 1).sum(), (counts == 2).sum()
+    return np.where(counts == 1, 2 * twice / once, counts) if 0 < 2 * twice < once else counts
+
+
+def _shape_ratio(own: np.ndarray, against: np.ndarray, editors: np.ndarray) -> np.ndarray:
+    """Ratios of shapes; a shape unknown to all is null, so that rough shapes, in which every sign is the same, decide."""
     fine = _ratio(own, against, editors)
     fine[(own == 0) & (against == 0) & (editors == 0)] = np.nan
-    return fine, _ratio(*(_counts(t, _rough_codes) for t in (slots, prose, marks)))
+    return fine
 
 
 @dataclass(frozen=True)
@@ -189,7 +198,8 @@ class ResidueModel:
         """The greatest ratio that any window of each text has for a slot."""
         if not texts:
             return np.zeros(0)
-        c, starts, sizes = _laid(texts)
+        # a slot that begins a text has a space before it, as those it is held against
+        c, starts, sizes = _laid([" " + t if t else t for t in texts])
         g, shape = _grams(c), _shapes(c)
         plain = (shape == _LETTER) | (shape == 32) | (shape == _DIGIT)
         plain = plain[:-3] & plain[1:-2] & plain[2:-1] & plain[3:]
@@ -220,38 +230,190 @@ def _laid(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _codes("\0" * _PAD + ("\0" * _PAD).join(texts) + "\0" * _PAD), starts, sizes
 
 
-def fit(sample: list[str], seeds: list[str] | None = None, forms: list[str] | None = None, fields: list[str] | None = None) -> ResidueModel:
-    """The models from a sample of the corpus and the seeds."""
-    prose = [t.lower() for t in sample if t and not t.isspace()]
-    base = _counts(prose)
+@dataclass(frozen=True)
+class _Corpus:
+    """What a fit asks of all texts that are not blank, in small letters.
+
+    ``grams`` are the counts of their 4-grams as characters, shapes and rough shapes, ``marked`` the texts that have each marked
+    string, all or those of editors' marks; ``residues`` gives the counts of 4-grams of the texts that a model covers by JOIN_COVERAGE and by COVERAGE.
+    """
+
+    size: int
+    grams: np.ndarray
+    marked: Mapping[str, int]
+    residues: Callable[[ResidueModel], np.ndarray]
+
+
+def _parts(texts: list[str | None]) -> Iterator[list[str]]:
+    """Texts that are not blank, in small letters, about _PART characters at a time."""
+    part, size = [], 0
+    for t in texts:
+        if t and not t.isspace():
+            part.append(t.lower())
+            size += len(t) + _PAD
+        if size >= _PART:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _joined(part: list[str]) -> np.ndarray:
+    return _codes(("\0" * 3).join(["", *part, ""]))
+
+
+def _add_grams(part: list[str], into: np.ndarray) -> None:
+    """Add the 4-grams of a part as characters, shapes and rough shapes."""
+    c = _joined(part)
+    shape = _shapes(c)
+    for k, x in enumerate((c, shape, _rough(shape))):
+        np.add.at(into[k], _grams(x), 1)
+
+
+def _add_residues(part: list[str], model: ResidueModel, into: np.ndarray) -> None:
+    """Add the 4-grams of the texts of a part that a model covers by each of the two coverages."""
+    coverage = model.coverages(part)
+    for k, least in enumerate((JOIN_COVERAGE, COVERAGE)):
+        found = [t for t, x in zip(part, coverage >= least) if x]
+        if found:
+            np.add.at(into[k], _grams(_joined(found)), 1)
+
+
+def _marked(part: list[str]) -> Iterator[str]:
+    for t in part:
+        yield from set(_MARKED.findall(re.sub(r"\d", "0", t)))
+
+
+def _no_counts(kinds: int) -> np.ndarray:
+    return np.zeros((kinds, 1 << _BITS), np.int64)
+
+
+def _of_texts(texts: list[str]) -> _Corpus:
+    parts = list(_parts(texts))
+    grams = _no_counts(3)
+    for part in parts:
+        _add_grams(part, grams)
+
+    def residues(model: ResidueModel) -> np.ndarray:
+        out = _no_counts(2)
+        for part in parts:
+            _add_residues(part, model, out)
+        return out
+
+    return _Corpus(sum(map(len, parts)), grams, Counter(w for part in parts for w in _marked(part)), residues)
+
+
+_COUNTED = "kind int, gram int, mark string, n bigint"
+_COUNTED_ARROW = pa.schema([("kind", pa.int32()), ("gram", pa.int32()), ("mark", pa.string()), ("n", pa.int64())])
+#: Kinds of counts after the three of 4-grams.
+_MARK, _TEXTS = 3, 4
+
+
+def _count_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for kind, of in enumerate(counts):
+        at = np.flatnonzero(of)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.nulls(len(at), pa.string()), pa.array(of[at])], schema=_COUNTED_ARROW)
+
+
+def _mark_rows(marks: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([_MARK] * len(marks), pa.int32()), pa.nulls(len(marks), pa.int32()), pa.array(list(marks), pa.string()), pa.array(list(marks.values()), pa.int64())], schema=_COUNTED_ARROW)
+
+
+def _summed(counted: DataFrame, kinds: int) -> np.ndarray:
+    """Counts of 4-grams by kind: tables of fixed size, whatever the corpus."""
+    got, out = counted.where(F.col("kind") < kinds).select("kind", "gram", "n").toArrow(), _no_counts(kinds)
+    out[got["kind"].to_numpy(), got["gram"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def _of_rows(df: DataFrame, text_col: str) -> _Corpus:
+    rows = df.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    total = F.sum("n").alias("n")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, marks, n = _no_counts(3), Counter(), 0
+        for batch in batches:
+            for part in _parts(batch.column(0).to_pylist()):
+                _add_grams(part, grams)
+                marks.update(_marked(part))
+                n += len(part)
+                if len(marks) > 100_000:
+                    yield _mark_rows(marks)
+                    marks = Counter()
+        yield from _count_rows(grams)
+        yield _mark_rows(marks)
+        yield pa.RecordBatch.from_arrays([pa.array([_TEXTS], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([n], pa.int64())], schema=_COUNTED_ARROW)
+
+    counted = checkpointed(rows.mapInArrow(count, _COUNTED).groupBy("kind", "gram", "mark").agg(total))
+    size = sum(r["n"] for r in counted.where(F.col("kind") == _TEXTS).collect())
+    # each is in a share of the texts, so their number does not grow with the corpus
+    marked = {r["mark"]: r["n"] for r in counted.where((F.col("kind") == _MARK) & (F.col("n") >= _mark_least(size))).collect()}
+
+    def residues(model: ResidueModel) -> np.ndarray:
+        none = np.zeros(0, np.float32)
+        shared = df.sparkSession.sparkContext.broadcast(replace(model, slot=none, slot_shape=none, slot_rough=none))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, out = shared.value, _no_counts(2)
+            for batch in batches:
+                for part in _parts(batch.column(0).to_pylist()):
+                    _add_residues(part, own, out)
+            yield from _count_rows(out)
+
+        out = _summed(rows.mapInArrow(count, _COUNTED).groupBy("kind", "gram").agg(total), 2)
+        shared.destroy()
+        return out
+
+    return _Corpus(size, _summed(counted, 3), marked, residues)
+
+
+def _key(counts: np.ndarray) -> bytes:
+    return hashlib.sha256(counts.tobytes()).digest()
+
+
+def _mark_least(size: int) -> float:
+    return max(MARK_LEAST, MARK_SHARE * size)
+
+
+def _mark_counts(marked: Mapping[str, int], of) -> np.ndarray:
+    """Counts of the 4-grams of marks, each as often as it was met."""
+    out = np.zeros(1 << _BITS)
+    for w, n in marked.items():
+        np.add.at(out, _grams(of(f"\0\0\0 {w} \0\0\0")), n)
+    return out
+
+
+def _fitted(corpus: _Corpus, seeds: list[str] | None, forms: list[str] | None, fields: list[str] | None) -> ResidueModel:
+    weight = min(1.0, WEIGHT_DOCUMENTS / max(1, corpus.size))
     seeded = _counts([s.lower() for s in (seeds or FILLER + NOTICES + NAVIGATION)])
     slots = [(" " + f % n + " ").lower() for f, n in product(forms or SLOT_FORMS, fields or FIELDS)]
-    met = Counter(w for t in prose for w in set(_MARKED.findall(re.sub(r"\d", "0", t))))
-    marks = [f" {w} " for w, n in met.items() if n >= max(MARK_LEAST, MARK_SHARE * len(prose)) for _ in range(n)]
-    slot = _ratio(_counts(slots), base, _counts(marks))
-    shapes = _shape_ratio(slots, prose, marks)
-    model, before = ResidueModel(_ratio(seeded, base), slot, *shapes), None
-    # each round takes in what was found, first generously; ends when the same texts are found again, and at the latest when every text has been
-    least, seen = JOIN_COVERAGE, set()
+    marks = {w: n for w, n in corpus.marked.items() if n >= _mark_least(corpus.size)}
+    own = [(_single_less(_counts(slots, of)), prose * weight, _mark_counts(marks, of) * weight) for of, prose in zip((_codes, _shape_codes, _rough_codes), corpus.grams)]
+    slot = _ratio(*own[0]), _shape_ratio(*own[1]), _ratio(*own[2])
+    base = corpus.grams[0]
+    model, fitted = ResidueModel(_ratio(seeded, base * weight), *slot), b""
+    # each round takes in what was found, first generously; ends when the same is found again, and at the latest when all that can be found has been
+    least, seen = 0, set()
     while True:
-        found = [bool(x) for i in range(0, len(prose), 500) for x in model.coverages(prose[i : i + 500]) >= least]
-        key = hash(tuple(found))
-        if found == before or key in seen:
-            if least == COVERAGE:
-                return model
-            least, seen = COVERAGE, set()
-        before = found
+        both = corpus.residues(model)
+        if least == 0 and _key(both[0]) in seen:
+            least, seen = 1, {fitted}
+        residue, key = both[least], _key(both[least])
+        if key in seen:
+            return model
         seen.add(key)
-        residue = _counts([t for t, x in zip(prose, found) if x])
-        model = ResidueModel(_ratio(seeded + np.minimum(residue, 50), np.maximum(base - residue, 0)), slot, *shapes)
+        fitted = key
+        model = ResidueModel(_ratio(seeded + np.minimum(residue * weight, 50), np.maximum(base - residue, 0) * weight), *slot)
+
+
+def fit(texts: list[str], seeds: list[str] | None = None, forms: list[str] | None = None, fields: list[str] | None = None) -> ResidueModel:
+    """The models from texts and the seeds."""
+    return _fitted(_of_texts(texts), seeds, forms, fields)
 
 
-def sampled(df: DataFrame, id_col: str, text_col: str, bound: int = SAMPLE_DOCUMENTS) -> list[str]:
-    """At most ``bound`` texts, spread by a hash of the id; only for fitting."""
-    n = df.count()
-    share = min(1.0, 0.9 * bound / max(1, n))
-    rows = df.where((F.xxhash64(F.col(id_col)) / F.lit(2.0**63)).between(-1.0, 2 * share - 1) & F.col(text_col).isNotNull()).select(F.col(text_col).alias("t")).limit(bound)
-    return [r["t"] for r in rows.collect()]
+def fit_rows(df: DataFrame, text_col: str = "text", seeds: list[str] | None = None, forms: list[str] | None = None, fields: list[str] | None = None) -> ResidueModel:
+    """The same models from all texts of a table, each counted; the table is read once for the counts and once a round."""
+    return _fitted(_of_rows(df, text_col), seeds, forms, fields)
 
 
 def scored(df: DataFrame, model: ResidueModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,7 +431,7 @@ def scored(df: DataFrame, model: ResidueModel, id_col: str = "doc_id", text_col:
             at = 0
             while at < len(texts):
                 part, size, first = [], 0, at
-                while at < len(texts) and (not part or size < 1_000_000):
+                while at < len(texts) and (not part or size < _PART):
                     part.append(texts[at] or "")
                     size += len(part[-1]) + _PAD
                     at += 1
@@ -280,7 +442,7 @@ def scored(df: DataFrame, model: ResidueModel, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, f"id {kind}, coverage double, has_slot boolean").withColumnRenamed("id", id_col)
 
 
-def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = SAMPLE_DOCUMENTS) -> DataFrame:
+def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id): the rows to exclude."""
-    model = fit(sampled(df, id_col, text_col, bound))
+    model = fit_rows(df, text_col)
     return scored(df, model, id_col, text_col).where((F.col("coverage") >= model.coverage) | F.col("has_slot")).select(id_col)

@@ -1,7 +1,9 @@
 import os
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillgraph.llm import residue
 
@@ -48,6 +50,41 @@ def test_rows(spark, model):
     assert {r[0] for r in residue.residue(df.unionByName(spark.createDataFrame([(100 + i, p, 1) for i, p in enumerate(PROSE * 20)], df.schema))).collect()} >= {5, 6}
 
 
+def test_all_rows_are_counted(spark):
+    """An editor's mark that only rows beyond any 6,000 spread by a hash of the id have is learnt from them."""
+    at = F.xxhash64("doc_id") / F.lit(2.0**63)
+    prose = F.element_at(F.array(*map(F.lit, PROSE)), (F.col("doc_id") % len(PROSE) + 1).cast("int"))
+    text = F.concat(prose, F.when(at > 0.8, F.lit(" Stari mlin [[nečitko]] opet radi.")).otherwise(F.lit("")))
+    df = spark.range(8000).select(F.col("id").alias("doc_id")).select("doc_id", text.alias("text")).union(spark.createDataFrame([(-1, "404 Page not found."), (-2, None), (-3, " ")], "doc_id bigint, text string"))
+    assert df.where(F.col("text").contains("[[")).count() > 400
+    assert [r[0] for r in residue.residue(df).collect()] == [-1]
+
+
+def test_rows_and_texts_give_one_model(spark):
+    """However rows are spread, each is counted once, and repeated rows as often as they stand there."""
+    chance = random.Random(9)
+    texts = [" ".join([*chance.sample(" ".join(PROSE).split(". "), 3), chance.choice(MARKS), str(i % 50)]) for i in range(7000)] + ["Error 404: page not found, try later."] * 40 + [None, "", " \n"]
+    chance.shuffle(texts)
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    one, other = residue.fit(texts), residue.fit_rows(df.repartition(7))
+    assert all(np.array_equal(getattr(one, k), getattr(other, k), equal_nan=True) for k in ("residue", "slot", "slot_shape", "slot_rough"))
+
+
+@pytest.mark.parametrize("slot", ["«prezime»", "[upisati ime]", "____ (sender)"])
+def test_a_slot_that_begins_a_text(model, slot):
+    first, later = model.slot_scores([f"{slot} opet radi.", f"stari mlin {slot} opet radi."])
+    assert first == pytest.approx(later)
+
+
+def test_single_counts_weigh_less():
+    assert residue._single_less(np.array([0, 1, 1, 1, 2, 5])).tolist() == [0, 2 / 3, 2 / 3, 2 / 3, 2, 5]
+    assert residue._single_less(np.array([0, 1, 5])).tolist() == [0, 1, 5]
+
+
+def test_an_empty_table(spark):
+    assert residue.residue(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
 @pytest.mark.parametrize("family", ["{{", "{%", "<%", "<<", "[[", "${", "#{", "@@", "[insert", "[upisati", "<your"])
 def test_slots_of_a_template_never_seen(model, family):
     """Slots of templates left out of the fit are found by the model alone."""
