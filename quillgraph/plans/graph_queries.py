@@ -64,12 +64,24 @@ def mentioned_persons(g: Graph) -> DataFrame:
     return rows.select("person", "label", "mentions").orderBy(F.desc("mentions"), "label", "person")
 
 
+def _spellings(g: Graph, into: str) -> DataFrame:
+    """(e, into): the labels of each entity, in order, in one row."""
+    return g.of(RDFS_LABEL, "e", "label", "entity").groupBy("e").agg(F.sort_array(F.collect_list("label")).alias(into))
+
+
 def letters_mentioning_places(g: Graph) -> DataFrame:
-    """(letter, date, written_place_label, mentioned_place_label)."""
-    mentioned = g.of(SCHEMA + "mentions", "letter", "place").join(g.typed(SCHEMA + "Place", "place"), "place", "left_semi").join(g.of(RDFS_LABEL, "place", "mentioned_place_label", "entity"), "place").drop("place")
-    written = g.of(SCHEMA + "locationCreated", "letter", "e").join(g.of(RDFS_LABEL, "e", "written_place_label", "entity"), "e").drop("e")
+    """(letter, date, written_place_label, mentioned_place_label).
+
+    A letter has a row for each label of a place it mentions with each label of its own place. These can be
+    hundreds of times as many as letters, so letters are joined and put in order with lists of labels, and
+    only the result has a row for each pair: none of them is shuffled or sorted.
+    """
+    of_letter = lambda pairs, into: pairs.join(_spellings(g, into), "e").groupBy("letter").agg(F.sort_array(F.flatten(F.collect_list(into))).alias(into))
+    mentioned = of_letter(g.of(SCHEMA + "mentions", "letter", "e").join(g.typed(SCHEMA + "Place", "e"), "e", "left_semi"), "mentioned")
+    written = of_letter(g.of(SCHEMA + "locationCreated", "letter", "e"), "written")
     rows = g.letters.join(mentioned, "letter").join(g.of(SCHEMA + "dateSent", "letter", "date"), "letter", "left").join(written, "letter", "left")
-    return rows.select("letter", "date", "written_place_label", "mentioned_place_label").orderBy(F.asc_nulls_first("date"), "letter", "mentioned_place_label")
+    rows = rows.orderBy(F.asc_nulls_first("date"), "letter").select("letter", "date", "written", F.explode("mentioned").alias("mentioned_place_label"))
+    return rows.select("letter", "date", F.explode_outer("written").alias("written_place_label"), "mentioned_place_label")
 
 
 def entity_network(g: Graph) -> DataFrame:
